@@ -1,0 +1,53 @@
+"""Compare a registered query with its SQL on the same tables."""
+
+from __future__ import annotations
+
+import math
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str):
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in TABLES:
+        path = Path(sf_dir) / f"{name}.parquet"
+        if path.exists():
+            con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def canonical(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    key = lambda v: (v is None, str(type(v)), str(v))
+    return [columns[i] for i in order], sorted(
+        (tuple(row[i] for i in order) for row in rows), key=lambda r: [key(v) for v in r]
+    )
+
+
+def same(a, b) -> bool:
+    if isinstance(a, float) and isinstance(b, float):
+        return a == b or (math.isnan(a) and math.isnan(b))
+    return type(a) is type(b) and a == b
+
+
+def differences(df, sql: str, con) -> list[str]:
+    """Empty when names, types of values, and values agree exactly."""
+    names, got = canonical(df.columns, [tuple(r) for r in df.collect()])
+    result = con.execute(sql)
+    expected_names, expected = canonical([d[0] for d in result.description], result.fetchall())
+    if names != expected_names:
+        return [f"columns {names} != {expected_names}"]
+    if len(got) != len(expected):
+        return [f"{len(got)} rows != {len(expected)}"]
+    return [
+        f"{g} != {e}"
+        for g, e in zip(got, expected)
+        if not all(same(x, y) for x, y in zip(g, e))
+    ][:5]
