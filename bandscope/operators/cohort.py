@@ -12,14 +12,20 @@ from bandscope.functions.measures import factor_aggregates
 from bandscope.spec import BandSpec, Factor
 
 
+def by_band(mart: DataFrame, factors: Sequence[Factor], band_col: str) -> DataFrame:
+    return mart.groupBy(band_col).agg(F.count("*").alias("total"), *factor_aggregates(factors))
+
+
 def cohort_report(
     mart: DataFrame, factors: Sequence[Factor], bands: BandSpec, band_col: str = "band"
 ) -> DataFrame:
-    """One row per band with its row count and every factor, from a single scan of the mart."""
+    """One row per band with its row count and every factor, from a single scan of the mart.
+
+    There are as many rows as bands, so they are ordered in one partition; a plain orderBy would
+    add a sampling job and a shuffle.
+    """
     return (
-        mart.groupBy(band_col)
-        .agg(F.count("*").alias("total"), *factor_aggregates(factors))
-        .orderBy(band_rank(band_col, bands), band_col)
+        by_band(mart, factors, band_col).coalesce(1).orderBy(band_rank(band_col, bands), band_col)
     )
 
 
@@ -43,7 +49,6 @@ def factor_scorecard(
     mart: DataFrame, factors: Sequence[Factor], bands: BandSpec, band_col: str = "band"
 ) -> DataFrame:
     """Every factor of every band in long form: band, factor, kind, matching, total, value."""
-    wide = mart.groupBy(band_col).agg(F.count("*").alias("total"), *factor_aggregates(factors))
     lines = [
         F.struct(
             F.lit(position).alias("position"),
@@ -57,7 +62,9 @@ def factor_scorecard(
         for position, factor in enumerate(factors)
     ]
     return (
-        wide.select(band_col, "total", F.inline(F.array(*lines)))
+        by_band(mart, factors, band_col)
+        .select(band_col, "total", F.inline(F.array(*lines)))
+        .coalesce(1)
         .orderBy("position", band_rank(band_col, bands), band_col)
         .select(band_col, "factor", "kind", "matching", "total", "value")
     )
@@ -70,6 +77,7 @@ def factor_gap(scorecard: DataFrame, low: str, high: str, band_col: str = "band"
         scorecard.groupBy("factor", "kind")
         .agg(value_in(low).alias("low_value"), value_in(high).alias("high_value"))
         .withColumn("gap", F.round(F.col("low_value") - F.col("high_value"), 2))
+        .coalesce(1)
         .orderBy("factor")
     )
 

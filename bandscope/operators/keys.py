@@ -99,4 +99,4 @@ def key_report(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
                 total(F.when(~matched, F.col("in_fact"))).alias("orphan_fact_rows"),
             ).select(F.lit(dimension.name).alias("dimension"), "*")
         )
-    return reduce(DataFrame.unionByName, reports).orderBy("dimension")
+    return reduce(DataFrame.unionByName, reports).coalesce(1).orderBy("dimension")

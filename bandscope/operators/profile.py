@@ -18,7 +18,9 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count("*").alias("total")).select(F.lit(name).alias("table_name"), "total")
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counts).orderBy(F.desc("total"), "table_name")
+    return reduce(DataFrame.unionByName, counts).coalesce(1).orderBy(
+        F.desc("total"), "table_name"
+    )
 
 
 def null_profile(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
@@ -54,7 +56,7 @@ def cell_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
                 (F.col("cells") - F.col("null_cells")).alias("valid_cells"),
             )
         )
-    return reduce(DataFrame.unionByName, profiles).orderBy("table_name")
+    return reduce(DataFrame.unionByName, profiles).coalesce(1).orderBy("table_name")
 
 
 def numeric_summary(
