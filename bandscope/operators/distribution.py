@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandscope.session import BROADCAST_BYTES, broadcast_if_small, is_small, stored
+from bandscope.session import BROADCAST_BYTES, broadcast_if_small, stored, weight
 from bandscope.sources.contract import require_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -100,38 +100,86 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
     )
 
 
-def sorted_counts(df: DataFrame, by: str, column: str) -> DataFrame:
-    """Distinct (group, value) pairs with their counts, in ranges of (group, value).
+def present(df: DataFrame, by: str, column: str) -> DataFrame:
+    """group and value of the rows a box plot draws: neither NULL nor NaN."""
+    values = df.select(F.col(by).alias("group"), F.col(column).cast("double").alias("value"))
+    return values.where(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def bracketed(values: DataFrame, probabilities: Sequence[float], large: int) -> DataFrame | None:
+    """Keep exact only the values near the wanted quantiles of each large group.
+
+    A sketch of every group gives, for each probability, two values with the quantile between
+    them. Values between brackets keep their place in the order but are all counted at the next
+    bracket's lower edge, marked inexact, so that nearly all rows combine before the shuffle.
+    Returns None when no group has ``large`` rows.
+    """
+    # Spark bounds the rank error of percentile_approx by rows / accuracy; twice that on each
+    # side leaves, in a group of at least `large` rows, room for the interpolated neighbours too.
+    accuracy = 10_000
+    slack = 2 / accuracy
+    around = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack, slack)]
+    edge = lambda i, side: F.col(f"_edge_{2 * i + side}")
+    brackets = stored(
+        values.groupBy("group")
+        .agg(F.count("*").alias("rows"), F.percentile_approx("value", around, accuracy).alias("at"))
+        .where(F.col("rows") >= large)
+        .select(
+            F.col("group").alias("_group"),
+            *(F.col("at")[i].alias(f"_edge_{i}") for i in range(len(around))),
+        ),
+        "brackets",
+    )
+    size = weight(brackets)
+    if size == 0:
+        return None
+    hint = F.broadcast if size <= BROADCAST_BYTES else (lambda side: side)
+    joined = values.join(hint(brackets), F.col("group").eqNullSafe(F.col("_group")), "left")
+    wanted = range(len(probabilities))
+    near = F.col("_edge_0").isNull()  # a small group, kept whole
+    for i in wanted:
+        near = near | F.col("value").between(edge(i, 0), edge(i, 1))
+    moved = F.when(near, F.col("value"))
+    for i in wanted:
+        moved = moved.when(F.col("value") < edge(i, 0), edge(i, 0))
+    return joined.select(
+        "group", moved.otherwise(F.lit(float("inf"))).alias("value"), near.alias("exact")
+    )
+
+
+def sorted_counts(values: DataFrame) -> DataFrame:
+    """Distinct (group, value, exact) with their counts, in ranges of that order.
 
     Repeats combine before the first shuffle, and the range partitioning spreads even a single
     group over all tasks. Stored, because ``part`` is only meaningful for this one layout.
     """
-    value = F.col(column).cast("double")
-    counts = (
-        df.select(F.col(by).alias("group"), value.alias("value"))
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("group", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    order = ["group", "value", "exact"]
+    counts = values.groupBy(*order).agg(F.count("*").alias("n"))
     return stored(
-        counts.repartitionByRange("group", "value").withColumn("part", F.spark_partition_id()),
+        counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id()),
         "sorted-counts",
     )
 
 
-def quantiles(counts: DataFrame, probabilities: Sequence[float], hint) -> DataFrame:
-    """Exact, linearly interpolated quantiles per group of sorted_counts: group, n, q0, q1, ...
+def part_totals(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("group", "part").agg(F.sum("n").alias("rows"))
+
+
+def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) -> DataFrame:
+    """Linearly interpolated quantiles per group of sorted_counts: group, n, q0, q1, ..., exact.
 
     Totals per part locate the few parts that hold a wanted rank; only those are put in order.
+    ``exact`` is false if a wanted rank fell outside its bracket. ``small`` says that part_totals
+    may be broadcast, and with it everything derived from it here.
     """
-    per_part = part_totals(counts)
-    within_group = Window.partitionBy("group")
-    upto = within_group.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    per_group = Window.partitionBy("group")
+    upto = per_group.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
     position = [(F.col("total") - 1) * F.lit(p) for p in probabilities]
     ranks = F.array(*(edge(p).cast("bigint") for p in position for edge in (F.floor, F.ceil)))
     holding = (
-        per_part.withColumn("after", F.sum("rows").over(upto))
-        .withColumn("total", F.sum("rows").over(within_group))
+        part_totals(counts)
+        .withColumn("after", F.sum("rows").over(upto))
+        .withColumn("total", F.sum("rows").over(per_group))
         .withColumn("before", F.col("after") - F.col("rows"))
         .withColumn(
             "ranks",
@@ -140,10 +188,10 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], hint) -> DataFr
         .where(F.size("ranks") > 0)
         .select(F.col("group").alias("_group"), F.col("part").alias("_part"), "before", "total", "ranks")
     )
-    running = Window.partitionBy("group", "part").orderBy("value")
+    running = Window.partitionBy("group", "part").orderBy("value", "exact")
     found = (
         counts.join(
-            hint(holding),
+            F.broadcast(holding) if small else holding,
             F.col("group").eqNullSafe(F.col("_group")) & (F.col("part") == F.col("_part")),
         )
         .withColumn("last", F.col("before") + F.sum("n").over(running))
@@ -151,7 +199,7 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], hint) -> DataFr
             "ranks",
             F.filter("ranks", lambda r: (r >= F.col("last") - F.col("n")) & (r < F.col("last"))),
         )
-        .select("group", "value", "total", F.explode("ranks").alias("rank"))
+        .select("group", "value", "exact", "total", F.explode("ranks").alias("rank"))
     )
 
     def interpolated(p: float) -> Column:
@@ -163,28 +211,43 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], hint) -> DataFr
     return found.groupBy("group").agg(
         F.max("total").alias("n"),
         *(interpolated(p).alias(f"q{i}") for i, p in enumerate(probabilities)),
+        F.bool_and("exact").alias("exact"),
     )
 
 
-def part_totals(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("group", "part").agg(F.sum("n").alias("rows"))
+def exact_quantiles(
+    values: DataFrame, probabilities: Sequence[float], large: int
+) -> tuple[DataFrame, bool]:
+    """Quantiles per group, and whether a frame of one row per group may be broadcast."""
+
+    def ranked(candidates: DataFrame) -> tuple[DataFrame, bool]:
+        counts = sorted_counts(candidates)
+        # Frames joined from here on have at most the rows of part_totals, no wider than four.
+        small = weight(part_totals(counts)) <= BROADCAST_BYTES // 4
+        return quantiles(counts, probabilities, small), small
 
+    near = bracketed(values, probabilities, large)
+    if near is not None:
+        result, small = ranked(near)
+        result = stored(result, "quantiles")
+        if result.where(~F.col("exact")).isEmpty():
+            return result, small
+    return ranked(values.withColumn("exact", F.lit(True)))
 
-def box_stats(df: DataFrame, by: str, column: str) -> DataFrame:
+
+def box_stats(df: DataFrame, by: str, column: str, large: int = 1_000_000) -> DataFrame:
     """Box-plot statistics per group: n, quartiles, fences, whiskers and outlier count.
 
     Quartiles are exact. Whiskers are the extreme values within 1.5 interquartile ranges, and
-    never end inside the box. The rows of df are read once; everything after works on the
-    stored distinct values. Columns: by, n, q1, median, q3, fence_low, fence_high,
-    whisker_low, whisker_high, outliers.
+    never end inside the box. Reads the two columns of df three times (sketch, ranks, whiskers),
+    so store a df that is costly to compute. Columns: by, n, q1, median, q3, fence_low,
+    fence_high, whisker_low, whisker_high, outliers.
     """
     require_columns(df, [by, column])
-    counts = sorted_counts(df, by, column)
-    # Both broadcasts below have at most as many rows as this frame, and rows no wider than
-    # four of its rows, so one measurement covers them.
-    hint = F.broadcast if is_small(part_totals(counts), BROADCAST_BYTES // 4) else (lambda side: side)
+    values = present(df, by, column)
+    quartiles, small = exact_quantiles(values, QUARTILES, large)
     reach = F.lit(1.5) * (F.col("q2") - F.col("q0"))
-    fences = quantiles(counts, QUARTILES, hint).select(
+    fences = quartiles.select(
         F.col("group").alias("_group"),
         F.col("n").alias("rows"),
         "q0",
@@ -196,13 +259,16 @@ def box_stats(df: DataFrame, by: str, column: str) -> DataFrame:
     inside = F.col("value").between(F.col("fence_low"), F.col("fence_high"))
     box = ["rows", "q0", "q1", "q2", "fence_low", "fence_high"]
     return (
-        counts.join(hint(fences), F.col("group").eqNullSafe(F.col("_group")))
+        values.join(
+            F.broadcast(fences) if small else fences,
+            F.col("group").eqNullSafe(F.col("_group")),
+        )
         .groupBy("group")
         .agg(
             *(F.max(c).alias(c) for c in box),
             F.min(F.when(inside, F.col("value"))).alias("lowest"),
             F.max(F.when(inside, F.col("value"))).alias("highest"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
         .select(
             F.col("group").alias(by),
@@ -219,10 +285,13 @@ def box_stats(df: DataFrame, by: str, column: str) -> DataFrame:
     )
 
 
-def outliers(df: DataFrame, by: str, column: str) -> DataFrame:
-    """Rows of df whose value lies outside the fences of their group."""
+def outliers(df: DataFrame, by: str, column: str, large: int = 1_000_000) -> DataFrame:
+    """Rows of df whose value lies outside the fences of their group. Reads df as box_stats does,
+    and once more."""
     fences = stored(
-        box_stats(df, by, column).select(F.col(by).alias("_group"), "fence_low", "fence_high"),
+        box_stats(df, by, column, large).select(
+            F.col(by).alias("_group"), "fence_low", "fence_high"
+        ),
         "fences",
     )
     value = F.col(column).cast("double")

@@ -1,0 +1,101 @@
+"""Every registered query against its SQL, the golden values, and the contract itself."""
+
+import pytest
+
+import __spark_entry__ as contract
+import harness
+
+
+@pytest.fixture(scope="module")
+def duck(sf):
+    return harness.connect(sf)
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(contract.queries()))
+def test_matches_sql(spark, sf, duck, name):
+    df = contract.queries()[name](spark, sf)
+    assert harness.differences(df, contract.oracle_sql()[name], duck) == []
+
+
+def test_entry(spark):
+    df = contract.entry(spark)
+    assert df.columns == ["band", "factor", "kind", "matching", "total", "value"]
+    assert df.count() == 21
+
+
+def test_golden_scorecard(spark, sf):
+    rows = contract.queries()["factor_scorecard_wide"](spark, sf).collect()
+    got = [
+        (
+            r.band,
+            r.total,
+            r.mean_qty,
+            r.mean_price,
+            r.n_high_discount,
+            r.pct_high_discount,
+            r.pct_segment_in,
+            r.pct_status_f,
+            r.pct_has_return,
+            r.pct_not_all_filled,
+        )
+        for r in rows
+    ]
+    assert got == [
+        ("High", 5981, 102.35, 253323.32, 1044, 17.46, 39.64, 33.04, 72.60, 86.91),
+        ("Medium", 6023, 104.44, 249762.66, 1094, 18.16, 38.95, 33.04, 74.65, 86.30),
+        ("Low", 2996, 103.31, 246659.66, 518, 17.29, 39.15, 32.28, 74.10, 88.15),
+    ]
+
+
+def test_golden_box(spark, sf):
+    rows = contract.queries()["box_stats_qty"](spark, sf).collect()
+    got = {
+        r.band: (r.n, r.q1, r.median, r.q3, r.whisker_low, r.whisker_high, r.outliers)
+        for r in rows
+    }
+    assert got == {
+        "High": (5892, 59, 96, 138, 1, 256, 57),
+        "Medium": (5905, 61, 97, 140, 1, 258, 74),
+        "Low": (2946, 60, 98, 138, 1, 255, 37),
+    }
+
+
+def test_golden_others(spark, sf):
+    q = contract.queries()
+    gaps = {r.factor: r.gap for r in q["factor_gap"](spark, sf).collect()}
+    assert gaps["high_discount"] == -0.17
+    cells = {r.table_name: r for r in q["cell_profile"](spark, sf).collect()}
+    assert (cells["mart"].null_cells, cells["mart"].cells) == (514, 45000)
+    quality = [
+        (r.band, r.total, r.pct_english, r.mean_chars)
+        for r in q["band_with_null_default"](spark, sf).collect()
+    ]
+    assert quality == [
+        ("High", 341, 65.4, 2444.24),
+        ("Medium", 601, 59.57, 2385.09),
+        ("Low", 58, 67.24, 2464.62),
+    ]
+    shares = [(r.o_orderpriority, r.total) for r in q["share_of_total"](spark, sf).collect()]
+    assert shares == [
+        ("1-URGENT", 2978),
+        ("2-HIGH", 3003),
+        ("3-MEDIUM", 3003),
+        ("4-NOT SPECIFIED", 3020),
+        ("5-LOW", 2996),
+    ]
+
+
+def test_scorecard_agrees_with_single_factor_queries(spark, sf_small):
+    q = contract.queries()
+    card = {
+        (r.band, r.factor): (r.matching, r.total, r.value)
+        for r in q["factor_scorecard"](spark, sf_small).collect()
+    }
+    for r in q["cohort_rate_has_return"](spark, sf_small).collect():
+        assert card[r.band, "has_return"] == (r.n_has_return, r.total, r.pct_has_return)
+    for r in q["cohort_mean_price"](spark, sf_small).collect():
+        assert card[r.band, "price"] == (None, r.total, r.mean_price)
