@@ -1,0 +1,130 @@
+import pytest
+from pyspark.sql import types as T
+
+from bandscope.sources.contract import require_columns
+from bandscope.sources.csv import csv_rejects, read_csv, read_text_csv, write_csv
+from bandscope.sources.layers import (
+    land_bronze,
+    normalise_names,
+    publish,
+    publish_view,
+    read_layer,
+    register_views,
+    write_layer,
+)
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField("age", T.IntegerType()),
+        T.StructField("edu", T.StringType()),
+    ]
+)
+
+
+def put(tmp_path, text, name="in.csv"):
+    path = tmp_path / name
+    path.write_text(text, encoding="utf-8")
+    return str(path)
+
+
+def rows(df, *order):
+    return [tuple(r) for r in df.orderBy(*order).collect()]
+
+
+def test_types_nulls_and_leading_zeros(spark, tmp_path):
+    path = put(tmp_path, 'id,age,edu\n007,21,None\n008,abc,\n009,,High School\n010,22.0,""\n')
+    assert rows(read_csv(spark, path, SCHEMA), "id") == [
+        ("007", 21, "None"),
+        ("008", None, None),
+        ("009", None, "High School"),
+        ("010", 22, None),
+    ]
+    rejected = {r.column_name: r.rejected for r in csv_rejects(spark, path, SCHEMA).collect()}
+    assert rejected == {"*": 0, "id": 0, "age": 1, "edu": 0}
+
+
+def test_null_tokens_are_a_choice(spark, tmp_path):
+    path = put(tmp_path, "id,age,edu\n1,NA,None\n")
+    assert rows(read_csv(spark, path, SCHEMA, ("", "NA", "None")), "id") == [("1", None, None)]
+    kept = {r.column_name: r.rejected for r in csv_rejects(spark, path, SCHEMA).collect()}
+    assert kept["age"] == 1
+    named = csv_rejects(spark, path, SCHEMA, ("", "NA")).collect()
+    assert {r.column_name: r.rejected for r in named}["age"] == 0
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = put(tmp_path, "edu,extra,id,age\nx,e,1,5\n")
+    assert rows(read_csv(spark, path, SCHEMA), "id") == [("1", 5, "x")]
+    everything = read_csv(spark, path, SCHEMA, keep_others=True)
+    assert everything.columns == ["edu", "extra", "id", "age"]
+    assert dict(everything.dtypes)["age"] == "int" and dict(everything.dtypes)["extra"] == "string"
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    put(tmp_path, "id,age,edu\n1,5,x\n", "a.csv")
+    put(tmp_path, "age,id,edu\n5,2,x\n", "b.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), SCHEMA).collect()
+
+
+def test_rows_of_the_wrong_length_are_counted(spark, tmp_path):
+    path = put(tmp_path, "id,age,edu\n1,5,x\n2,6\n3,7,x,y\n")
+    assert csv_rejects(spark, path, SCHEMA).first().rejected == 2
+    assert rows(read_csv(spark, path, SCHEMA), "id")[0] == ("1", 5, "x")
+
+
+def test_large_identifiers_stay_exact(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    path = put(tmp_path, "k\n9007199254740993\n")
+    assert read_csv(spark, path, schema).first().k == 9007199254740993
+
+
+def test_missing_source_and_columns_fail_at_once(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)path"):
+        land_bronze(spark, str(tmp_path / "none.csv"), str(tmp_path / "b"), SCHEMA)
+    assert not (tmp_path / "b").exists()
+    with pytest.raises(ValueError, match=r"missing columns \['age', 'edu'\]"):
+        read_csv(spark, put(tmp_path, "id\n1\n"), SCHEMA)
+    with pytest.raises(ValueError):
+        require_columns(spark.range(1), ["nope"])
+
+
+def test_round_trip_keeps_awkward_text(spark, tmp_path):
+    values = ["a,b", 'say "hi"', " padded ", "ação", "None", "007", None]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, s string")
+    path = str(tmp_path / "out")
+    write_csv(df, path)
+    assert rows(read_csv(spark, path, df.schema), "id") == rows(df, "id")
+    assert rows(read_text_csv(spark, path), "id") == rows(df, "id")
+
+
+def test_landing_keeps_every_column_and_renames(spark, tmp_path):
+    path = put(tmp_path, "id,Level (1-10),more\n007,9,m\n")
+    schema = T.StructType(
+        [T.StructField("id", T.StringType()), T.StructField("Level (1-10)", T.IntegerType())]
+    )
+    renames = {"Level (1-10)": "level", "absent": "x"}
+    bronze = land_bronze(spark, path, str(tmp_path / "bronze"), schema, renames=renames)
+    assert bronze.dtypes == [("id", "string"), ("level", "int"), ("more", "string")]
+    assert rows(bronze, "id") == [("007", 9, "m")]
+    assert normalise_names(bronze, {"absent": "x"}).columns == bronze.columns
+
+
+def test_layers_tables_and_views(spark, tmp_path):
+    df = spark.createDataFrame([("007", 1), ("008", 2)], "id string, n int")
+    write_layer({"a": df, "b": df.where("n = 2")}, str(tmp_path / "silver"))
+    layer = read_layer(spark, str(tmp_path / "silver"), ["a", "b"])
+    assert rows(layer["a"], "id") == rows(df, "id") and layer["b"].count() == 1
+    write_layer({"a": df}, str(tmp_path / "text"), fmt="csv")
+    assert rows(read_text_csv(spark, str(tmp_path / "text" / "a")), "id") == [("007", "1"), ("008", "2")]
+
+    publish(layer["a"], "default.t_layer")
+    table = publish(layer["b"], "default.t_layer")
+    assert rows(table, "id") == [("008", 2)]
+    assert rows(publish_view(spark, "default.v_layer", "default.t_layer"), "id") == [("008", 2)]
+    assert {"t_layer", "v_layer"} <= {t.name for t in spark.catalog.listTables("default")}
+    register_views(layer)
+    assert spark.sql("SELECT count(*) AS n FROM a JOIN b USING (id)").first().n == 1
+    elsewhere = publish(df, "default.t_elsewhere", path=str(tmp_path / "elsewhere"))
+    assert elsewhere.count() == 2 and (tmp_path / "elsewhere").exists()
