@@ -167,6 +167,7 @@ def oracle_sql() -> dict[str, str]:
             FROM graded GROUP BY band""",
         "measure_by_band": f"WITH {MART} SELECT band, qty FROM mart WHERE qty IS NOT NULL",
         "mart_rows": f"WITH {MART} SELECT * FROM mart",
+        "published_mart": f"WITH {MART} SELECT * FROM mart",
         "star_entity_dim": f"""{flat} SELECT CAST(o_orderkey AS VARCHAR) AS entity_id,
             c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM flat""",
         "star_behaviour_dim": f"""{flat} SELECT CAST(o_orderkey AS VARCHAR) AS entity_id,

@@ -14,27 +14,17 @@ from pyspark.sql import functions as F
 from bandscope.spec import Factor
 
 
-def hits(predicate: str) -> Column:
-    """Rows for which the predicate is true; NULL does not count."""
-    return F.count_if(F.expr(predicate))
-
-
-def percent(part: Column, whole: Column) -> Column:
-    return F.round(part / whole * 100, 2)
-
-
-def rounded_mean(expr: str, digits: int = 2) -> Column:
-    return F.round(F.avg(F.expr(expr)), digits)
-
-
 def factor_aggregates(factors: Sequence[Factor]) -> list[Column]:
-    """Columns mean_<name>, or n_<name> and pct_<name>. Percentages are of all rows."""
+    """Columns mean_<name>, or n_<name> and pct_<name>.
+
+    A row whose predicate is NULL is not counted as matching and stays in the denominator.
+    """
     out: list[Column] = []
     for factor in factors:
         if factor.kind == "mean":
-            out.append(rounded_mean(factor.expr).alias(f"mean_{factor.name}"))
+            out.append(F.expr(f"round(avg({factor.expr}), 2) AS mean_{factor.name}"))
         else:
-            matching = hits(factor.expr)
-            out.append(matching.alias(f"n_{factor.name}"))
-            out.append(percent(matching, F.count("*")).alias(f"pct_{factor.name}"))
+            matching = f"count_if({factor.expr})"
+            out.append(F.expr(f"{matching} AS n_{factor.name}"))
+            out.append(F.expr(f"round({matching} / count(*) * 100, 2) AS pct_{factor.name}"))
     return out

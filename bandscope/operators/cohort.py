@@ -49,24 +49,20 @@ def factor_scorecard(
     mart: DataFrame, factors: Sequence[Factor], bands: BandSpec, band_col: str = "band"
 ) -> DataFrame:
     """Every factor of every band in long form: band, factor, kind, matching, total, value."""
-    lines = [
-        F.struct(
-            F.lit(position).alias("position"),
-            F.lit(factor.name).alias("factor"),
-            F.lit(factor.kind).alias("kind"),
-            (
-                F.col(f"n_{factor.name}") if factor.kind == "rate" else F.lit(None).cast("bigint")
-            ).alias("matching"),
-            F.col(f"{'pct' if factor.kind == 'rate' else 'mean'}_{factor.name}").alias("value"),
-        )
-        for position, factor in enumerate(factors)
-    ]
+    lines = ", ".join(
+        f"{position}, '{f.name}', '{f.kind}', "
+        + (f"n_{f.name}, pct_{f.name}" if f.kind == "rate" else f"NULL, mean_{f.name}")
+        for position, f in enumerate(factors)
+    )
+    unpivoted = f"stack({len(factors)}, {lines}) AS (position, factor, kind, matching, value)"
     return (
         by_band(mart, factors, band_col)
-        .select(band_col, "total", F.inline(F.array(*lines)))
+        .selectExpr(band_col, "total", unpivoted)
         .coalesce(1)
         .orderBy("position", band_rank(band_col, bands), band_col)
-        .select(band_col, "factor", "kind", "matching", "total", "value")
+        .selectExpr(
+            band_col, "factor", "kind", "CAST(matching AS bigint) AS matching", "total", "value"
+        )
     )
 
 

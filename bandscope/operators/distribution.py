@@ -11,6 +11,9 @@ from bandscope.session import BROADCAST_BYTES, broadcast_if_small, stored, weigh
 from bandscope.sources.contract import require_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
+ACCURACY = 10_000  # of the sketches
+SALTS = 64
+LARGE = 1_000_000  # rows from which a group is sketched; above ACCURACY * SALTS
 
 
 def finite(value: Column) -> Column:
@@ -42,8 +45,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
 
     Empty bins are present with n = 0. Values that are NULL, NaN or infinite fall in no bin;
     a column with a single value has all rows in bin 0. The range of every column is one scalar
-    subquery, and all columns are counted in one scan. A task emits at most bins rows per column,
-    so the result is ordered in one partition instead of by a sampled sort.
+    subquery, and all columns are counted in one scan. Reads df twice.
     """
     require_columns(df, columns)
     values = df.select(*(F.col(c).cast("double").alias(c) for c in columns))
@@ -91,13 +93,14 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
             F.when(index == bins - 1, high).otherwise(low + (index + 1) * width).alias("hi"),
         )
     )
-    return (
+    counted = (
         placed.unionByName(every_bin, allowMissingColumns=True)
         .groupBy("column_name", "bin")
         .agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("one").alias("n"))
-        .coalesce(1)
-        .orderBy("column_name", "bin")
     )
+    # A task emits at most this many rows; few of them need no sampled sort.
+    few = bins * len(columns) <= 1000
+    return (counted.coalesce(1) if few else counted).orderBy("column_name", "bin")
 
 
 def present(df: DataFrame, by: str, column: str) -> DataFrame:
@@ -106,47 +109,65 @@ def present(df: DataFrame, by: str, column: str) -> DataFrame:
     return values.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def matching_group(side: str = "_group") -> Column:
+    return F.col("group").eqNullSafe(F.col(side))
+
+
 def bracketed(values: DataFrame, probabilities: Sequence[float], large: int) -> DataFrame | None:
-    """Keep exact only the values near the wanted quantiles of each large group.
+    """Keep exact only the values near the wanted quantiles of each group of ``large`` rows.
 
-    A sketch of every group gives, for each probability, two values with the quantile between
-    them. Values between brackets keep their place in the order but are all counted at the next
-    bracket's lower edge, marked inexact, so that nearly all rows combine before the shuffle.
-    Returns None when no group has ``large`` rows.
+    Sketches give, for each probability, two values with the quantile between them. Values
+    between brackets keep their place in the order but are all counted at the next bracket's
+    lower edge, marked inexact, so that nearly all rows combine before the shuffle. Returns None
+    when no group is large: small groups are kept whole anyway.
     """
-    # Spark bounds the rank error of percentile_approx by rows / accuracy; twice that on each
-    # side leaves, in a group of at least `large` rows, room for the interpolated neighbours too.
-    accuracy = 10_000
-    slack = 2 / accuracy
-    around = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack, slack)]
-    edge = lambda i, side: F.col(f"_edge_{2 * i + side}")
-    brackets = stored(
-        values.groupBy("group")
-        .agg(F.count("*").alias("rows"), F.percentile_approx("value", around, accuracy).alias("at"))
-        .where(F.col("rows") >= large)
-        .select(
-            F.col("group").alias("_group"),
-            *(F.col("at")[i].alias(f"_edge_{i}") for i in range(len(around))),
-        ),
-        "brackets",
+    sizes = values.groupBy("group").agg(F.count("*").alias("rows"))
+    groups = stored(
+        sizes.where(F.col("rows") >= large).select(F.col("group").alias("_group")), "large-groups"
     )
-    size = weight(brackets)
+    size = weight(groups)
     if size == 0:
         return None
-    hint = F.broadcast if size <= BROADCAST_BYTES else (lambda side: side)
-    joined = values.join(hint(brackets), F.col("group").eqNullSafe(F.col("_group")), "left")
-    wanted = range(len(probabilities))
-    near = F.col("_edge_0").isNull()  # a small group, kept whole
-    for i in wanted:
-        near = near | F.col("value").between(edge(i, 0), edge(i, 1))
+    # At most rows / large groups, but rows has no limit, so the size decides.
+    hint = F.broadcast if size <= BROADCAST_BYTES // 4 else (lambda side: side)
+    brackets = stored(group_brackets(values.join(hint(groups), matching_group()), probabilities), "brackets")
+
+    joined = values.join(hint(brackets), matching_group(), "left")
+    edges = [(F.col(f"_low_{i}"), F.col(f"_high_{i}")) for i in range(len(probabilities))]
+    near = F.col("_low_0").isNull()  # not a large group
+    for low, high in edges:
+        near = near | F.col("value").between(low, high)
     moved = F.when(near, F.col("value"))
-    for i in wanted:
-        moved = moved.when(F.col("value") < edge(i, 0), edge(i, 0))
+    for low, _ in edges:
+        moved = moved.when(F.col("value") < low, low)
     return joined.select(
         "group", moved.otherwise(F.lit(float("inf"))).alias("value"), near.alias("exact")
     )
 
 
+def group_brackets(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Per group, _low_i and _high_i with quantile i between them.
+
+    Each of SALTS slices of a group is sketched on its own, so no task merges the sketches of
+    every input partition. The quantile of the whole is between the least and the greatest
+    quantile of the slices. Spark bounds the rank error of a sketch by rows / ACCURACY; asking for
+    twice that to either side leaves room for it and, from ACCURACY * SALTS rows on, for the
+    neighbouring ranks that interpolation needs.
+    """
+    slack = 2 / ACCURACY
+    around = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack, slack)]
+    slices = (
+        values.withColumn("slice", F.spark_partition_id() % SALTS)
+        .groupBy("group", "slice")
+        .agg(F.percentile_approx("value", around, ACCURACY).alias("at"))
+    )
+    bounds = []
+    for i in range(len(probabilities)):
+        bounds.append(F.min(F.col("at")[2 * i]).alias(f"_low_{i}"))
+        bounds.append(F.max(F.col("at")[2 * i + 1]).alias(f"_high_{i}"))
+    return slices.groupBy(F.col("group").alias("_group")).agg(*bounds)
+
+
 def sorted_counts(values: DataFrame) -> DataFrame:
     """Distinct (group, value, exact) with their counts, in ranges of that order.
 
@@ -192,7 +213,7 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) ->
     found = (
         counts.join(
             F.broadcast(holding) if small else holding,
-            F.col("group").eqNullSafe(F.col("_group")) & (F.col("part") == F.col("_part")),
+            matching_group() & (F.col("part") == F.col("_part")),
         )
         .withColumn("last", F.col("before") + F.sum("n").over(running))
         .withColumn(
@@ -218,74 +239,70 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) ->
 def exact_quantiles(
     values: DataFrame, probabilities: Sequence[float], large: int
 ) -> tuple[DataFrame, bool]:
-    """Quantiles per group, and whether a frame of one row per group may be broadcast."""
+    """Quantiles per group, stored, and whether one row per group may be broadcast."""
 
     def ranked(candidates: DataFrame) -> tuple[DataFrame, bool]:
         counts = sorted_counts(candidates)
         # Frames joined from here on have at most the rows of part_totals, no wider than four.
         small = weight(part_totals(counts)) <= BROADCAST_BYTES // 4
-        return quantiles(counts, probabilities, small), small
+        return stored(quantiles(counts, probabilities, small), "quantiles"), small
 
     near = bracketed(values, probabilities, large)
     if near is not None:
         result, small = ranked(near)
-        result = stored(result, "quantiles")
         if result.where(~F.col("exact")).isEmpty():
             return result, small
     return ranked(values.withColumn("exact", F.lit(True)))
 
 
-def box_stats(df: DataFrame, by: str, column: str, large: int = 1_000_000) -> DataFrame:
+def box_stats(df: DataFrame, by: str, column: str, large: int = LARGE) -> DataFrame:
     """Box-plot statistics per group: n, quartiles, fences, whiskers and outlier count.
 
     Quartiles are exact. Whiskers are the extreme values within 1.5 interquartile ranges, and
-    never end inside the box. Reads the two columns of df three times (sketch, ranks, whiskers),
-    so store a df that is costly to compute. Columns: by, n, q1, median, q3, fence_low,
+    never end inside the box. Reads the two columns of df up to four times (group sizes, sketches
+    of large groups, ranks, whiskers), so store a df that is costly to compute. Columns: by, n, q1, median, q3, fence_low,
     fence_high, whisker_low, whisker_high, outliers.
     """
     require_columns(df, [by, column])
     values = present(df, by, column)
     quartiles, small = exact_quantiles(values, QUARTILES, large)
     reach = F.lit(1.5) * (F.col("q2") - F.col("q0"))
-    fences = quartiles.select(
+    box = quartiles.select(
         F.col("group").alias("_group"),
-        F.col("n").alias("rows"),
+        "n",
         "q0",
         "q1",
         "q2",
         (F.col("q0") - reach).alias("fence_low"),
         (F.col("q2") + reach).alias("fence_high"),
     )
+    hint = F.broadcast if small else (lambda side: side)
     inside = F.col("value").between(F.col("fence_low"), F.col("fence_high"))
-    box = ["rows", "q0", "q1", "q2", "fence_low", "fence_high"]
-    return (
-        values.join(
-            F.broadcast(fences) if small else fences,
-            F.col("group").eqNullSafe(F.col("_group")),
-        )
+    # Only what depends on the rows is aggregated over them; the box joins its group's one row.
+    whiskers = (
+        values.join(hint(box.select("_group", "fence_low", "fence_high")), matching_group())
         .groupBy("group")
         .agg(
-            *(F.max(c).alias(c) for c in box),
             F.min(F.when(inside, F.col("value"))).alias("lowest"),
             F.max(F.when(inside, F.col("value"))).alias("highest"),
             F.count_if(~inside).alias("outliers"),
         )
-        .select(
-            F.col("group").alias(by),
-            F.col("rows").alias("n"),
-            F.col("q0").alias("q1"),
-            F.col("q1").alias("median"),
-            F.col("q2").alias("q3"),
-            "fence_low",
-            "fence_high",
-            F.least("lowest", "q0").alias("whisker_low"),
-            F.greatest("highest", "q2").alias("whisker_high"),
-            "outliers",
-        )
+    )
+    return whiskers.join(hint(box), matching_group()).select(
+        F.col("group").alias(by),
+        "n",
+        F.col("q0").alias("q1"),
+        F.col("q1").alias("median"),
+        F.col("q2").alias("q3"),
+        "fence_low",
+        "fence_high",
+        F.least("lowest", "q0").alias("whisker_low"),
+        F.greatest("highest", "q2").alias("whisker_high"),
+        "outliers",
     )
 
 
-def outliers(df: DataFrame, by: str, column: str, large: int = 1_000_000) -> DataFrame:
+def outliers(df: DataFrame, by: str, column: str, large: int = LARGE) -> DataFrame:
     """Rows of df whose value lies outside the fences of their group. Reads df as box_stats does,
     and once more."""
     fences = stored(

@@ -15,7 +15,14 @@ from bandscope.operators.mart import build_mart, entity_measure_pairs
 from bandscope.operators.star import behaviour_dim, entity_dim, fact_rows, split_star
 from bandscope.session import configure, scratch_path, stored
 from bandscope.sources.csv import csv_rejects, read_csv, read_text_csv, write_csv
-from bandscope.sources.layers import land_bronze, normalise_names, read_layer, write_layer
+from bandscope.sources.layers import (
+    land_bronze,
+    normalise_names,
+    publish,
+    publish_view,
+    read_layer,
+    write_layer,
+)
 from bandscope.spec import BandSpec, Dimension, StarSpec, mean, rate
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -236,6 +243,13 @@ def layered_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.factor_scorecard(star_mart(star), STAR_FACTORS, BANDS)
 
 
+def published_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart saved as a catalog table in the shared folder and read through its view."""
+    table_name, view_name = "bandscope_order_mart", "bandscope_order_mart_with_band"
+    publish(order_mart(spark, sf_dir), table_name, path=scratch_path(spark, "mart"))
+    return publish_view(spark, view_name, table_name)
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     return keys.category_dim(customer, "c_mktsegment", "segment", "segment_id")
@@ -468,6 +482,7 @@ QUERIES = {
     "band_with_null_default": band_with_null_default,
     "measure_by_band": quantity_rows,
     "mart_rows": order_mart,
+    "published_mart": published_mart,
     "star_entity_dim": star_entity,
     "star_behaviour_dim": star_behaviour,
     "star_fact": star_fact,

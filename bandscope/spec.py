@@ -49,6 +49,8 @@ class Factor:
     expr: str
 
     def __post_init__(self):
+        if not self.name.isidentifier():
+            raise ValueError(f"factor name {self.name!r} cannot be part of a column name")
         if self.kind not in ("mean", "rate"):
             raise ValueError(f"factor {self.name!r}: kind must be 'mean' or 'rate'")
 
