@@ -12,8 +12,9 @@ from bandscope.sources.contract import require_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 10_000  # of the sketches
-SALTS = 64
-LARGE = 1_000_000  # rows from which a group is sketched; above ACCURACY * SALTS
+SLICES = 64  # of a large group, at most
+MERGED = 256  # partitions whose sketches one task merges, at least
+LARGE = 1_000_000  # rows from which a group is sketched; above ACCURACY * SLICES
 
 
 def finite(value: Column) -> Column:
@@ -121,16 +122,20 @@ def bracketed(values: DataFrame, probabilities: Sequence[float], large: int) ->
     lower edge, marked inexact, so that nearly all rows combine before the shuffle. Returns None
     when no group is large: small groups are kept whole anyway.
     """
-    sizes = values.groupBy("group").agg(F.count("*").alias("rows"))
-    groups = stored(
-        sizes.where(F.col("rows") >= large).select(F.col("group").alias("_group")), "large-groups"
+    sizes = (
+        values.withColumn("part", F.spark_partition_id())
+        .groupBy(F.col("group").alias("_group"))
+        .agg(F.count("*").alias("rows"), F.max("part").alias("last_part"))
     )
+    groups = stored(sizes.where(F.col("rows") >= large), "large-groups")
     size = weight(groups)
     if size == 0:
         return None
     # At most rows / large groups, but rows has no limit, so the size decides.
     hint = F.broadcast if size <= BROADCAST_BYTES // 4 else (lambda side: side)
-    brackets = stored(group_brackets(values.join(hint(groups), matching_group()), probabilities), "brackets")
+    parts = groups.agg(F.max("last_part")).first()[0] + 1
+    sketched = values.join(hint(groups.select("_group")), matching_group())
+    brackets = stored(group_brackets(sketched, probabilities, parts), "brackets")
 
     joined = values.join(hint(brackets), matching_group(), "left")
     edges = [(F.col(f"_low_{i}"), F.col(f"_high_{i}")) for i in range(len(probabilities))]
@@ -145,19 +150,21 @@ def bracketed(values: DataFrame, probabilities: Sequence[float], large: int) ->
     )
 
 
-def group_brackets(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
-    """Per group, _low_i and _high_i with quantile i between them.
+def group_brackets(values: DataFrame, probabilities: Sequence[float], parts: int) -> DataFrame:
+    """Per group, _low_i and _high_i with quantile i between them, for values in ``parts`` partitions.
 
-    Each of SALTS slices of a group is sketched on its own, so no task merges the sketches of
-    every input partition. The quantile of the whole is between the least and the greatest
-    quantile of the slices. Spark bounds the rank error of a sketch by rows / ACCURACY; asking for
-    twice that to either side leaves room for it and, from ACCURACY * SALTS rows on, for the
-    neighbouring ranks that interpolation needs.
+    Slices of a group are sketched on their own, so that no task merges the sketches of every
+    partition. The quantile of the whole is between the least and the greatest quantile of the
+    slices. A slice takes every n-th partition, at least MERGED of them, so that slices are alike
+    even where the rows are sorted. Spark bounds the rank error of a sketch by rows / ACCURACY;
+    asking for twice that to either side leaves room for it and, from ACCURACY * SLICES rows on,
+    for the neighbouring ranks that interpolation needs.
     """
+    number = min(max(parts // MERGED, 1), SLICES)
     slack = 2 / ACCURACY
     around = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack, slack)]
     slices = (
-        values.withColumn("slice", F.spark_partition_id() % SALTS)
+        values.withColumn("slice", F.spark_partition_id() % number)
         .groupBy("group", "slice")
         .agg(F.percentile_approx("value", around, ACCURACY).alias("at"))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandscope.sources.csv import read_csv, write_csv
@@ -48,6 +49,13 @@ def read_layer(spark: SparkSession, destination: str, names: Sequence[str]) -> d
     return {n: spark.read.parquet(f"{destination.rstrip('/')}/{n}") for n in names}
 
 
+def evenly_keyed(df: DataFrame, key: str, buckets: int) -> bool:
+    """Whether no key alone outweighs an even bucket. NULL counts as a key."""
+    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
+    heaviest, total = per_key.agg(F.max("n"), F.sum("n")).first()
+    return total is None or heaviest <= max(total // buckets, 1)
+
+
 def publish(
     df: DataFrame,
     table: str,
@@ -59,22 +67,18 @@ def publish(
     """Save as a catalog table, replacing it, and return the table.
 
     With ``bucket_by`` the rows are bucketed and sorted on that key. Tables bucketed alike on
-    the entity key join without a shuffle, so the silver tables pay for it once.
+    the entity key join without a shuffle, so the silver tables pay for it once. A bucket is read
+    by one task, so a table in which one key outweighs an even bucket is saved unbucketed: its
+    joins shuffle, and there a hot key can be split.
     """
-    writer = df.write.mode("overwrite").format(fmt)
+    bucketed = bucket_by is not None and evenly_keyed(df, bucket_by, buckets)
+    # One writer task per bucket, so a bucket is one file rather than one per task.
+    writer = (df.repartition(buckets, bucket_by) if bucketed else df).write
+    writer = writer.mode("overwrite").format(fmt)
+    if bucketed:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     if path is not None:
         writer = writer.option("path", path)
-    if bucket_by is not None:
-        # One writer task per bucket, so a bucket is one file rather than one per task.
-        writer = (
-            df.repartition(buckets, bucket_by)
-            .write.mode("overwrite")
-            .format(fmt)
-            .bucketBy(buckets, bucket_by)
-            .sortBy(bucket_by)
-        )
-        if path is not None:
-            writer = writer.option("path", path)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
 

@@ -136,3 +136,14 @@ def test_a_missed_bracket_is_noticed_and_made_good(spark, monkeypatch):
     assert dist.quantiles(wrong, dist.QUARTILES, True).first().exact is False
     r = dist.box_stats(df, "g", "v", 10_000).first()
     assert (r.q1, r.median, r.q3) == (7499.75, 14999.5, 22499.25)
+
+
+def test_sketches_in_slices_bracket_the_quantiles(spark, monkeypatch):
+    """Several slices of sorted rows: brackets are wide there, and the result the same."""
+    monkeypatch.setattr(dist, "MERGED", 2)
+    df = spark.range(0, 100_000, 1, 8).selectExpr("1 as g", "cast(id as double) as v")
+    values = dist.present(df, "g", "v")
+    r = dist.group_brackets(values, dist.QUARTILES, 8).first()
+    assert r._low_0 <= 24999 and r._high_0 >= 25000 and r._low_2 <= 74999 and r._high_2 >= 75000
+    box = dist.box_stats(df, "g", "v", 50_000).first()
+    assert (box.q1, box.median, box.q3) == (24999.75, 49999.5, 74999.25)
