@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandscope.session import BROADCAST_BYTES, broadcast_if_small, stored, weight
+from bandscope.session import BROADCAST_BYTES, broadcast_if_small, row_bytes, stored, weight
 from bandscope.sources.contract import require_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 10_000  # of the sketches
 SLICES = 64  # of a large group, at most
 MERGED = 256  # partitions whose sketches one task merges, at least
+FEW = 1_000_000  # rows up to which one task may hold them all
 LARGE = 1_000_000  # rows from which a group is sketched; above ACCURACY * SLICES
 
 
@@ -114,27 +115,29 @@ def matching_group(side: str = "_group") -> Column:
     return F.col("group").eqNullSafe(F.col(side))
 
 
-def bracketed(values: DataFrame, probabilities: Sequence[float], large: int) -> DataFrame | None:
-    """Keep exact only the values near the wanted quantiles of each group of ``large`` rows.
-
-    Sketches give, for each probability, two values with the quantile between them. Values
-    between brackets keep their place in the order but are all counted at the next bracket's
-    lower edge, marked inexact, so that nearly all rows combine before the shuffle. Returns None
-    when no group is large: small groups are kept whole anyway.
-    """
-    sizes = (
+def group_sizes(values: DataFrame) -> DataFrame:
+    """Rows per group, and the last input partition that has some."""
+    return (
         values.withColumn("part", F.spark_partition_id())
         .groupBy(F.col("group").alias("_group"))
         .agg(F.count("*").alias("rows"), F.max("part").alias("last_part"))
     )
-    groups = stored(sizes.where(F.col("rows") >= large), "large-groups")
-    size = weight(groups)
-    if size == 0:
-        return None
-    # At most rows / large groups, but rows has no limit, so the size decides.
-    hint = F.broadcast if size <= BROADCAST_BYTES // 4 else (lambda side: side)
-    parts = groups.agg(F.max("last_part")).first()[0] + 1
-    sketched = values.join(hint(groups.select("_group")), matching_group())
+
+
+def bracketed(
+    values: DataFrame, large_groups: DataFrame, probabilities: Sequence[float], parts: int
+) -> DataFrame:
+    """Keep exact only the values near the wanted quantiles of the large groups.
+
+    Sketches give, for each probability, two values with the quantile between them. Values
+    between brackets keep their place in the order but are all counted at the next bracket's
+    lower edge, marked inexact, so that nearly all rows combine before the shuffle. Values of
+    other groups stay as they are.
+    """
+    # At most rows / large of them, but rows has no limit, so the size decides.
+    small = weight(large_groups) <= BROADCAST_BYTES // 4
+    hint = F.broadcast if small else (lambda side: side)
+    sketched = values.join(hint(large_groups.select("_group")), matching_group())
     brackets = stored(group_brackets(sketched, probabilities, parts), "brackets")
 
     joined = values.join(hint(brackets), matching_group(), "left")
@@ -189,23 +192,20 @@ def sorted_counts(values: DataFrame) -> DataFrame:
     )
 
 
-def part_totals(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("group", "part").agg(F.sum("n").alias("rows"))
-
-
 def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) -> DataFrame:
     """Linearly interpolated quantiles per group of sorted_counts: group, n, q0, q1, ..., exact.
 
     Totals per part locate the few parts that hold a wanted rank; only those are put in order.
-    ``exact`` is false if a wanted rank fell outside its bracket. ``small`` says that part_totals
-    may be broadcast, and with it everything derived from it here.
+    ``exact`` is false if a wanted rank fell outside its bracket. ``small`` says that a few rows
+    per group may be broadcast.
     """
     per_group = Window.partitionBy("group")
     upto = per_group.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
     position = [(F.col("total") - 1) * F.lit(p) for p in probabilities]
     ranks = F.array(*(edge(p).cast("bigint") for p in position for edge in (F.floor, F.ceil)))
     holding = (
-        part_totals(counts)
+        counts.groupBy("group", "part")
+        .agg(F.sum("n").alias("rows"))
         .withColumn("after", F.sum("rows").over(upto))
         .withColumn("total", F.sum("rows").over(per_group))
         .withColumn("before", F.col("after") - F.col("rows"))
@@ -243,26 +243,43 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) ->
     )
 
 
+def plain_quantiles(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """Spark's own exact percentile, which holds a group's values in one task."""
+    return (
+        values.groupBy("group")
+        .agg(F.count("*").alias("n"), F.percentile("value", list(probabilities)).alias("at"))
+        .select("group", "n", *(F.col("at")[i].alias(f"q{i}") for i in range(len(probabilities))))
+    )
+
+
 def exact_quantiles(
-    values: DataFrame, probabilities: Sequence[float], large: int
+    values: DataFrame, probabilities: Sequence[float], few: int, large: int
 ) -> tuple[DataFrame, bool]:
-    """Quantiles per group, stored, and whether one row per group may be broadcast."""
+    """Quantiles per group, and whether a few rows per group may be broadcast.
 
-    def ranked(candidates: DataFrame) -> tuple[DataFrame, bool]:
-        counts = sorted_counts(candidates)
-        # Frames joined from here on have at most the rows of part_totals, no wider than four.
-        small = weight(part_totals(counts)) <= BROADCAST_BYTES // 4
-        return stored(quantiles(counts, probabilities, small), "quantiles"), small
-
-    near = bracketed(values, probabilities, large)
-    if near is not None:
-        result, small = ranked(near)
+    Up to ``few`` rows in all go through percentile. Otherwise groups of at least ``large`` rows
+    are cut down to brackets, and if a rank misses its bracket the values are ranked whole.
+    """
+    sizes = stored(group_sizes(values), "group-sizes")
+    total, largest, last_part, size = sizes.agg(
+        F.sum("rows"), F.max("rows"), F.max("last_part"), F.sum(row_bytes(sizes))
+    ).first()
+    # What is broadcast per group is at most the six parts its ranks can be in, or one wide row.
+    small = (size or 0) <= BROADCAST_BYTES // 16
+    if (total or 0) <= few:
+        return plain_quantiles(values, probabilities), small
+    if largest >= large:
+        near = bracketed(values, sizes.where(F.col("rows") >= large), probabilities, last_part + 1)
+        result = stored(quantiles(sorted_counts(near), probabilities, small), "quantiles")
         if result.where(~F.col("exact")).isEmpty():
             return result, small
-    return ranked(values.withColumn("exact", F.lit(True)))
+    whole = sorted_counts(values.withColumn("exact", F.lit(True)))
+    return stored(quantiles(whole, probabilities, small), "quantiles"), small
 
 
-def box_stats(df: DataFrame, by: str, column: str, large: int = LARGE) -> DataFrame:
+def box_stats(
+    df: DataFrame, by: str, column: str, few: int = FEW, large: int = LARGE
+) -> DataFrame:
     """Box-plot statistics per group: n, quartiles, fences, whiskers and outlier count.
 
     Quartiles are exact. Whiskers are the extreme values within 1.5 interquartile ranges, and
@@ -272,7 +289,7 @@ def box_stats(df: DataFrame, by: str, column: str, large: int = LARGE) -> DataFr
     """
     require_columns(df, [by, column])
     values = present(df, by, column)
-    quartiles, small = exact_quantiles(values, QUARTILES, large)
+    quartiles, small = exact_quantiles(values, QUARTILES, few, large)
     reach = F.lit(1.5) * (F.col("q2") - F.col("q0"))
     box = quartiles.select(
         F.col("group").alias("_group"),
@@ -309,11 +326,13 @@ def box_stats(df: DataFrame, by: str, column: str, large: int = LARGE) -> DataFr
     )
 
 
-def outliers(df: DataFrame, by: str, column: str, large: int = LARGE) -> DataFrame:
+def outliers(
+    df: DataFrame, by: str, column: str, few: int = FEW, large: int = LARGE
+) -> DataFrame:
     """Rows of df whose value lies outside the fences of their group. Reads df as box_stats does,
     and once more."""
     fences = stored(
-        box_stats(df, by, column, large).select(
+        box_stats(df, by, column, few, large).select(
             F.col(by).alias("_group"), "fence_low", "fence_high"
         ),
         "fences",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Adaptive execution sizes and splits the shuffles. Forcing the skew split matters for the mart:
@@ -62,19 +62,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def weight(df: DataFrame) -> int:
-    """Bytes the rows of df take, from above: 16 per row, 8 per number, the length of text.
-
-    Summed on the executors; one number comes back. Not for nested columns.
-    """
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes a row of df takes, from above: 16, 8 per number, the length of text. Not for nested columns."""
     widths = [
         F.coalesce(F.octet_length(field.name), F.lit(0))
         if field.dataType.typeName() in ("string", "binary")
         else F.lit(8)
         for field in df.schema.fields
     ]
-    row_bytes = sum(widths, F.lit(16)).cast("bigint")
-    return df.agg(F.sum(row_bytes).alias("weight")).first()["weight"] or 0
+    return sum(widths, F.lit(16)).cast("bigint")
+
+
+def weight(df: DataFrame) -> int:
+    """Bytes the rows of df take. Summed on the executors; one number comes back."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -102,15 +102,15 @@ def reference_box(values):
     )
 
 
-@pytest.mark.parametrize("large", [10**6, 2000])
-def test_box_against_brute_force(spark, conf, large):
-    """Both ways to the quantiles: whole groups, and groups cut down to brackets."""
+@pytest.mark.parametrize("few, large", [(10**6, 10**6), (0, 10**6), (0, 2000)])
+def test_box_against_brute_force(spark, conf, few, large):
+    """All ways to the quantiles: percentile, whole groups, groups cut down to brackets."""
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     rows = skewed_rows(3, 12_000)
     df = spark.createDataFrame(rows, "g string, v double").repartition(6)
     got = {
         r.g: (r.n, r.q1, r.median, r.q3, r.whisker_low, r.whisker_high, r.outliers)
-        for r in dist.box_stats(df, "g", "v", large).collect()
+        for r in dist.box_stats(df, "g", "v", few, large).collect()
     }
     groups = {}
     for g, v in rows:
@@ -120,9 +120,24 @@ def test_box_against_brute_force(spark, conf, large):
         assert got[g] == pytest.approx(reference_box(values), rel=1e-12)
 
 
+def test_every_way_handles_null_labels_and_few_rows(spark):
+    rows = [(None, float(v)) for v in (1, 3, 4, 90)] + [("a", 5.0), ("b", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    expected = {None: (4, 2.5, 3.5, 25.5), "a": (1, 5.0, 5.0, 5.0)}
+    for few, large in ((100, 100), (0, 100), (0, 2)):
+        got = dist.box_stats(df, "g", "v", few, large).collect()
+        assert {r.g: (r.n, r.q1, r.median, r.q3) for r in got} == expected
+        assert dist.outliers(df, "g", "v", few, large).count() == 1
+
+
+def cut_down(df, probabilities, parts=8):
+    values = dist.present(df, "g", "v")
+    return dist.bracketed(values, dist.group_sizes(values), probabilities, parts)
+
+
 def test_brackets_keep_few_values_and_every_row(spark):
     df = spark.range(200_000).selectExpr("id % 2 as g", "cast(id as double) * 1.5 as v")
-    near = dist.bracketed(dist.present(df, "g", "v"), dist.QUARTILES, 50_000)
+    near = cut_down(df, dist.QUARTILES)
     assert near.count() == 200_000
     assert near.where("exact").count() < 2_000
 
@@ -130,11 +145,11 @@ def test_brackets_keep_few_values_and_every_row(spark):
 def test_a_missed_bracket_is_noticed_and_made_good(spark, monkeypatch):
     """With brackets around the wrong quantiles the ranks are inexact, and the full way runs."""
     df = spark.range(30_000).selectExpr("1 as g", "cast(id as double) as v")
-    right = dist.bracketed
-    monkeypatch.setattr(dist, "bracketed", lambda v, p, large: right(v, (0.1, 0.2, 0.3), large))
-    wrong = dist.sorted_counts(dist.bracketed(dist.present(df, "g", "v"), dist.QUARTILES, 10_000))
+    wrong = dist.sorted_counts(cut_down(df, (0.1, 0.2, 0.3)))
     assert dist.quantiles(wrong, dist.QUARTILES, True).first().exact is False
-    r = dist.box_stats(df, "g", "v", 10_000).first()
+    right = dist.bracketed
+    monkeypatch.setattr(dist, "bracketed", lambda v, g, p, n: right(v, g, (0.1, 0.2, 0.3), n))
+    r = dist.box_stats(df, "g", "v", 0, 10_000).first()
     assert (r.q1, r.median, r.q3) == (7499.75, 14999.5, 22499.25)
 
 
@@ -145,5 +160,5 @@ def test_sketches_in_slices_bracket_the_quantiles(spark, monkeypatch):
     values = dist.present(df, "g", "v")
     r = dist.group_brackets(values, dist.QUARTILES, 8).first()
     assert r._low_0 <= 24999 and r._high_0 >= 25000 and r._low_2 <= 74999 and r._high_2 >= 75000
-    box = dist.box_stats(df, "g", "v", 50_000).first()
+    box = dist.box_stats(df, "g", "v", 0, 50_000).first()
     assert (box.q1, box.median, box.q3) == (24999.75, 49999.5, 74999.25)
