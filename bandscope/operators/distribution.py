@@ -284,8 +284,10 @@ def box_stats(
 
     Quartiles are exact. Whiskers are the extreme values within 1.5 interquartile ranges, and
     never end inside the box. Reads the two columns of df up to four times (group sizes, sketches
-    of large groups, ranks, whiskers), so store a df that is costly to compute. Columns: by, n, q1, median, q3, fence_low,
-    fence_high, whisker_low, whisker_high, outliers.
+    of large groups, ranks, whiskers), so store a df that is costly to compute.
+
+    Columns: by, n, q1, median, q3, fence_low, fence_high, whisker_low, whisker_high, outliers.
+    ``few`` and ``large`` choose the way to the quartiles, see exact_quantiles.
     """
     require_columns(df, [by, column])
     values = present(df, by, column)
