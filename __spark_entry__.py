@@ -7,6 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bandscope.plans import orders
+from bandscope.session import use_scratch
+
+try:
+    from bandscope.llm import queries as llm
+except ImportError as missing:
+    if not (missing.name or "").startswith(("bandscope.llm", "corpus_pipeline")):
+        raise
+    llm = None
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -14,8 +22,21 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["factor_scorecard"](spark, "/root/testdata/sf0.001")
 
 
+# Scratch folder of a session that names none in spark.checkpoint.dir.
+SCRATCH = "file:///tmp/checkpoints"
+
+
+def with_scratch(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        use_scratch(spark, SCRATCH)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return orders.registry()
+    found = orders.registry() | (llm.registry() if llm else {})
+    return {name: with_scratch(query) for name, query in found.items()}
 
 
 BAND = """CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'High'
@@ -124,6 +145,10 @@ def box_sql(source: str, by: str, column: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    return analysis_sql() | (llm.oracle_sql() if llm else {})
+
+
+def analysis_sql() -> dict[str, str]:
     flat = f"""WITH {BEHAVIOUR}, flat AS (
         SELECT * FROM orders LEFT JOIN customer ON c_custkey = o_custkey
                              LEFT JOIN behaviour ON l_orderkey = o_orderkey)"""

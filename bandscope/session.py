@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,25 +30,52 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names in spark.checkpoint.dir.
+def use_scratch(spark: SparkSession, folder: str) -> None:
+    """Name the shared scratch folder of a session that has none. A folder set already stays."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(folder)
 
-    Only a local session without that setting gets a folder of its own.
-    """
+
+def scratch_root(spark: SparkSession) -> str:
+    """Folder every executor can reach: the one the session names in spark.checkpoint.dir."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
-        return named
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="bandscope-"))
-    return context.getCheckpointDir()
+    if not named:
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share, or call use_scratch")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return named
+
+
+_open_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, every scratch copy made in it.
+
+    Frames built in the block may read such copies, so they must be written or counted inside it.
+    """
+    made: list[str] = []
+    _open_scopes.append(made)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(made)
+        for path in made:
+            release(spark, path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _open_scopes:
+        _open_scopes[-1].append(path)
+    return path
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
