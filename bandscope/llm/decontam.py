@@ -199,8 +199,8 @@ def find_matches(
                     doc = np.searchsorted(first, place, "right") - 1
                     order = np.lexsort((place, -length, known.item[q], doc))
                     doc, q, place, length = doc[order], q[order], place[order], length[order]
-                    edges = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else []
-                    for a, b in zip(edges, [*edges[1:], len(doc)], strict=True):
+                    edges = np.flatnonzero(np.diff(doc, prepend=-1, append=part.num_rows))
+                    for a, b in zip(edges[:-1], edges[1:], strict=True):
                         d = int(doc[a])
                         at = place[a:b] - first[d]
                         old = [(x["start"], x["end"]) for x in hits[d]]
