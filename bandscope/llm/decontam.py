@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
+from bandscope.llm.columns import put_back, set_aside
 
 WINDOW = 10
 # Text of the items in one broadcast block, in bytes.
@@ -241,5 +242,5 @@ def digest(found: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of `docs` without any window of an item, with the columns of `docs`."""
-    found = find_matches(docs, items, window)
-    return found.filter(F.size("hits") == 0).select(*docs.columns)
+    rows, other = set_aside(docs, ("n_words", "hits", "matches"))
+    return put_back(find_matches(rows, items, window).filter(F.size("hits") == 0), docs.columns, other)

@@ -16,8 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (u, v): the smallest node it is connected with.
 
     Alternates the large-star and small-star steps, each round written to the shared folder, until nothing
-    changes. A node's smallest neighbour is found with partial aggregation and joined back, so hubs are
-    split like any skewed join key. Edges of a node with itself and null ends are left out.
+    changes. A node's smallest neighbour is found with partial aggregation, written, and joined back: from a
+    written table both sides of the join are shuffled, so that a hub is split like any skewed key. Edges of a node with itself and null ends are left out.
     """
     now = stored(
         edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
@@ -26,9 +26,9 @@ def components(edges: DataFrame) -> DataFrame:
     sign = tuple(now.agg(*signed).first())
     while sign[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "least")
         large = stored(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         new = tuple(now.agg(*signed).first())

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
+from bandscope.llm.columns import put_back, set_aside
 from bandscope.llm.labelled import LABELLED
 
 KINDS = ("email", "ip", "card", "phone")
@@ -328,6 +329,12 @@ def find_pii(docs: DataFrame, rows: list[str] = LABELLED, text: str = "text", re
     return out.mapInArrow(search, out.schema)
 
 
+def redact(docs: DataFrame, rows: list[str] = LABELLED, text: str = "text") -> DataFrame:
+    """`docs` with the spans in its texts replaced by their kinds, and all other columns as they were."""
+    kept, other = set_aside(docs, ("spans",))
+    return put_back(find_pii(kept, rows, text, redact=True), docs.columns, other)
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
+from bandscope.llm.columns import put_back, set_aside
 
 SAMPLE = 8000
 BITS = 20
@@ -169,3 +170,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     """Every row of `docs` with `score` and `predicted` (1 where the score reaches the threshold)."""
     scored = score(docs, train(sample(docs, labels)))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs` whose score stays below the threshold, with the columns of `docs`."""
+    rows, other = set_aside(docs, ("score", "predicted"))
+    return put_back(toxicity(rows, labels, threshold).filter("predicted = 0"), docs.columns, other)

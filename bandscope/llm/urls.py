@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bandscope.llm.columns import set_aside
 from bandscope.session import broadcast_if_small, stored
 
 BLOCK, BITS = 256, 8
@@ -68,25 +69,18 @@ def in_list(urls: DataFrame, key: str, listed: DataFrame, flag: str = "listed")
     keys = stored(listed.select("key").filter("key IS NOT NULL").distinct(), "listed")
     blocks = max(1, -(-keys.count() * BITS_PER_URL // BLOCK))
     table = stored(bloom(keys, blocks), "bloom")
-    tagged = urls.withColumn("_key", F.col(key))
-    wanted = {f"_m{i}": m for i, m in enumerate(masks(F.col("_key")))}
-    probed = (
-        tagged.withColumn("_block", F.pmod(F.xxhash64("_key"), F.lit(blocks)))
-        .join(broadcast_if_small(table), F.col("_block") == F.col("block"), "left")
-        .withColumns(wanted)
-    )
-    hit = reduce(
-        lambda a, b: a & b,
-        (F.col(f"w{i}").bitwiseAND(F.col(f"_m{i}")) == F.col(f"_m{i}") for i in range(BLOCK // 64)),
-        F.col("_key").isNotNull(),
+    words = [f"w{i}" for i in range(BLOCK // 64)]
+    kept, other = set_aside(urls, ("block", "listed", *words, "wanted", "block_no", "probe", flag))
+    own = F.col(f"`{other.get(key, key)}`")
+    probed = kept.withColumns({"wanted": F.array(*masks(own)), "block_no": F.pmod(F.xxhash64(own), F.lit(blocks))}).join(
+        broadcast_if_small(table), F.col("block_no") == F.col("block"), "left"
     )
+    hit = reduce(lambda a, b: a & b, (F.col(w).bitwiseAND(F.col("wanted")[i]) == F.col("wanted")[i] for i, w in enumerate(words)), own.isNotNull())
     # Only possible hits look for a partner; the others have a null key, which the join leaves alone.
-    exact = broadcast_if_small(keys).withColumn("_found", F.lit(True)).withColumnRenamed("key", "_listed")
-    return (
-        probed.withColumn("_probe", F.when(F.coalesce(hit, F.lit(False)), F.col("_key")))
-        .join(exact, F.col("_probe") == F.col("_listed"), "left")
-        .select(*urls.columns, F.coalesce("_found", F.lit(False)).alias(flag))
-    )
+    exact = broadcast_if_small(keys).select(F.col("key").alias("listed"))
+    found = probed.withColumn("probe", F.when(F.coalesce(hit, F.lit(False)), own)).join(exact, F.col("probe") == F.col("listed"), "left")
+    answer = F.col("listed").isNotNull().alias(flag)
+    return found.select(*(F.col(f"`{other.get(c, c)}`").alias(c) for c in urls.columns if c != flag), answer)
 
 
 def rule_for(name: Column, place: Column, rules: tuple[tuple[str, str, str], ...]) -> tuple[Column, Column]:

@@ -1,0 +1,99 @@
+import random
+
+import pytest
+from helpers import joined, shingles_of
+
+from bandscope.llm import graph, near
+
+DOCS = "doc_id long, text string, cls string, key int"
+
+
+def frame(spark, rows, schema="doc_id long, text string"):
+    return spark.createDataFrame(rows, schema)
+
+
+def expected(rows, threshold=0.8):
+    """Class and number of links of each row by comparing all pairs."""
+    sets = [shingles_of(t) for _, t in rows]
+    pairs = [
+        (i, j)
+        for i in range(len(rows))
+        for j in range(i)
+        if sets[i] and sets[j] and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]) - 1e-9
+    ]
+    links = [0] * len(rows)
+    for i, j in pairs:
+        links[i] += 1
+        links[j] += 1
+    root = joined(pairs, len(rows))
+    smallest = {}
+    for (doc, _), r in zip(rows, root):
+        smallest[r] = min((d for d in (smallest.get(r), doc) if d is not None), default=None)
+    return sorted(((d, smallest[r], n) for (d, _), r, n in zip(rows, root, links)), key=str)
+
+
+def found(df, **how):
+    return sorted(((r.doc_id, r.class_id, r.n_links) for r in near.jaccard_join(df, **how).collect()), key=str)
+
+
+def test_all_links_of_prose(spark, prose):
+    rows = list(enumerate(prose))
+    assert found(frame(spark, rows)) == expected(rows)
+
+
+def test_large_groups_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near, "BUCKET_BLOCK", 8)
+    monkeypatch.setattr(near, "GROUP_BLOCK", 8)
+    rng = random.Random(1)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(70):
+        words = base[:]
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(120)] = f"x{rng.randrange(500)}"
+        rows.append((i, " ".join(words)))
+    assert found(frame(spark, rows)) == expected(rows)
+
+
+def test_nulls_empty_short_repeated_and_clashing_columns(spark):
+    rows = [
+        (1, None), (2, ""), (3, "..."), (4, "Only three words"), (5, "only THREE words."), (6, "only three others"),
+        (7, "a b c d e f g"), (7, "a b c d e f g"), (None, "a b c d e f g"), (None, None), (8, "x " * 5000), (9, "X " * 4000),
+    ]
+    wide = frame(spark, [(d, t, "c", 1) for d, t in rows], DOCS)
+    assert found(wide) == expected(rows)
+    kept = sorted(((r.doc_id, r.text) for r in near.drop_near_duplicates(wide).collect()), key=str)
+    assert kept == sorted([rows[i] for i in (0, 1, 2, 3, 5, 6, 9, 10)], key=str)
+    assert near.drop_near_duplicates(wide).columns == wide.columns
+
+
+def test_rows_without_ids_and_empty_tables(spark):
+    rows = [(None, "p q r s t u v w"), (None, "p q r s t u v w")]
+    assert found(frame(spark, rows)) == [(None, None, 1), (None, None, 1)]
+    assert near.drop_near_duplicates(frame(spark, rows)).count() == 1
+    empty = frame(spark, [])
+    assert found(empty) == [] and near.drop_near_duplicates(empty).count() == 0
+
+
+def test_one_id_with_two_texts(spark):
+    rows = [(1, "a b c d e f g"), (1, "h i j k l m n"), (2, "h i j k l m n")]
+    kept = near.drop_near_duplicates(frame(spark, rows)).collect()
+    assert sorted(r.text for r in kept) == ["a b c d e f g", "h i j k l m n"]
+
+
+def test_prefixes_are_shortened_until_the_recall_is_met():
+    assert near.prefix_depth(0.8, trees=24, deepest=6, recall=0.9999) == 5
+    assert near.prefix_depth(0.8, trees=24, deepest=3, recall=0.5) == 3
+    assert near.prefix_depth(0.1, trees=2, recall=0.9999) == 1
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    n = 300
+    edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(180)] + [(500 + i, 501 + i) for i in range(40)] + [(0, 0)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    root = joined(edges, 600)
+    touched = {x for a, b in edges if a != b for x in (a, b)}
+    assert got == {x: root[x] for x in touched}
+    assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0

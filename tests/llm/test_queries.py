@@ -1,0 +1,73 @@
+"""The registered queries against their SQL, and the pipeline against its stages."""
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from helpers import joined, shingles_of, words_of
+from test_packing import ids_of
+
+import __spark_entry__ as contract
+import corpus_pipeline
+import harness
+from bandscope.llm import queries
+from bandscope.session import scratch_scope
+
+WITH_SQL = sorted(queries.oracle_sql())
+
+
+def test_all_ten_and_the_pipeline_are_registered():
+    names = set(contract.queries())
+    assert {n.split("_")[0] for n in queries.QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert set(queries.QUERIES) <= names and set(queries.oracle_sql()) <= set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", WITH_SQL)
+def test_matches_sql(spark, sf, name):
+    with scratch_scope(spark):
+        df = contract.queries()[name](spark, sf)
+        assert harness.differences(df, contract.oracle_sql()[name], harness.connect(sf)) == []
+
+
+def test_pipeline_stages(spark, sf_small):
+    """Each stage against a plain version over what the one before wrote."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    rows, kept = docs, []
+    with scratch_scope(spark):
+        for name, stage in corpus_pipeline.STAGES:
+            rows = corpus_pipeline.stored(stage(spark, rows, sf_small), name)
+            kept.append(rows.collect())
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert rows.columns == docs.columns
+        whole = corpus_pipeline.run(spark, sf_small).collect()
+    toxic, near, clean, masked, packed = kept
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_small}/labels.parquet").collect()}
+    stayed = {r.doc_id for r in toxic}
+    gone = [t for d, t in labels.items() if d not in stayed]
+    assert sum(gone) >= 0.8 * sum(labels.values()) and len(gone) - sum(gone) <= 0.03 * len(labels)
+
+    rows = sorted(toxic, key=lambda r: r.doc_id)
+    sets = [shingles_of(r.text) for r in rows]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    root = joined(pairs, len(rows))
+    assert sorted(r.doc_id for r in near) == [r.doc_id for i, r in enumerate(rows) if root[i] == i]
+
+    items = [words_of(r.text) for r in spark.read.parquet(f"{sf_small}/benchmark.parquet").collect()]
+    windows = {tuple(w[i : i + 10]) for w in items for i in range(max(1, len(w) - 9)) if w}
+    sizes = {len(w) for w in windows}
+    hit = lambda t: any(tuple(t[i : i + n]) in windows for n in sizes for i in range(len(t) - n + 1))
+    assert sorted(r.doc_id for r in clean) == sorted(r.doc_id for r in near if not hit(words_of(r.text)))
+
+    before = {r.doc_id: r.text for r in clean}
+    assert {r.doc_id for r in masked} == set(before) and all(r.n_chars == len(r.text) for r in masked)
+    assert all("@" not in r.text or "@" in before[r.doc_id] for r in masked)
+
+    pieces = defaultdict(list)
+    for r in packed:
+        pieces[r.doc_id].append(r)
+    for r in masked:
+        ids = np.array([*ids_of(r.text), 0], "<u4")
+        want = [(k, k * 2048, len(c), zlib.crc32(c)) for k, c in enumerate(ids[i : i + 2048] for i in range(0, len(ids), 2048))]
+        assert sorted((p.piece, p.start, p.length, p.ids_crc32) for p in pieces[r.doc_id]) == want
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, packed))

@@ -1,0 +1,36 @@
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from helpers import words_of
+
+from bandscope.llm import words as W
+
+TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aZ9 .é\n日-\x00", max_size=30)), max_size=8)
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS)
+def test_words_are_those_of_the_pattern(texts):
+    col = W.column(pa.array(texts, pa.string()))
+    start, end, hashes, first = W.words(col)
+    found = [[col.data[a:b].tobytes().decode() for a, b in zip(start[i:j], end[i:j])] for i, j in zip(first[:-1], first[1:])]
+    lowered = [[words_of(w)[0] for w in row] for row in found]
+    assert lowered == [words_of(t) for t in texts]
+    by_hash = {}
+    for word, h in zip((w for row in lowered for w in row), hashes.tolist()):
+        assert by_hash.setdefault(word, h) == h
+    assert len(set(by_hash.values())) == len(by_hash)
+
+
+def test_words_longer_than_a_block_and_words_at_its_edge(monkeypatch):
+    monkeypatch.setattr(W, "BLOCK", 64)
+    text = "a" * 500 + " bc " + "word " * 60 + "x" * 63 + " " + "x" * 63
+    long, short = W.words(W.column(pa.array([text]))), W.words(W.column(pa.array(text.split())))
+    assert long[2].tolist() == short[2].tolist()
+
+
+def test_slices_hold_every_row_once():
+    batch = pa.record_batch({"text": pa.array(["a" * n for n in (0, 5, 900, 1, 0, 300)] + [None])})
+    parts = list(W.slices(batch, "text", 100))
+    assert [x for p in parts for x in p.column("text").to_pylist()] == batch.column("text").to_pylist()
+    assert len(parts) > 2 and list(W.slices(batch.slice(0, 0), "text")) == []
