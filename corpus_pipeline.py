@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from bandscope.llm.decontam import decontaminate
 from bandscope.llm.near import drop_near_duplicates
 from bandscope.llm.packing import pack_documents, tokenizer_path
-from bandscope.llm.pii import find_pii
-from bandscope.llm.toxicity import toxicity
+from bandscope.llm.pii import redact
+from bandscope.llm.toxicity import drop_toxic
 from bandscope.session import stored
 
 
@@ -25,8 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score stays below the threshold; the model learns from `labels` of the documents given."""
-    scored = toxicity(docs.withColumn("_kept", F.struct(*docs.columns)).select("doc_id", "text", "_kept"), table(spark, sf_dir, "labels"))
-    return scored.filter("predicted = 0").select("_kept.*")
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +40,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with spans of personal data replaced by their kind; n_chars is counted anew."""
-    cleaned = find_pii(docs, redact=True).select(*docs.columns)
+    cleaned = redact(docs)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else cleaned
 
 
