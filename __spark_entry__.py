@@ -157,6 +157,9 @@ def analysis_sql() -> dict[str, str]:
     pairs = """pairs AS (SELECT c_acctbal, o_totalprice FROM customer
                          JOIN orders ON o_custkey = c_custkey
                          WHERE c_acctbal IS NOT NULL AND o_totalprice IS NOT NULL)"""
+    outlier_sql = f"""WITH {MART}, box AS ({box_sql("mart", "band", "qty")})
+        SELECT o_orderkey, mart.band, qty FROM mart JOIN box ON box.band = mart.band
+        WHERE qty < fence_low OR qty > fence_high"""
     quality = """graded AS (
         SELECT d.doc_id, lang, n_chars, quality,
                CASE quality WHEN 1 THEN 'High' WHEN 0 THEN 'Low' ELSE 'Medium' END AS band
@@ -209,8 +212,8 @@ def analysis_sql() -> dict[str, str]:
         "layered_scorecard": f"WITH {MART} {scorecard_sql()}",
         "category_dim": numbered,
         "category_dim_large": """
-            SELECT part_name, row_number() OVER (ORDER BY part_name) AS part_id
-            FROM (SELECT DISTINCT p_name AS part_name FROM part)""",
+            SELECT order_key, row_number() OVER (ORDER BY order_key) AS order_id
+            FROM (SELECT DISTINCT o_orderkey AS order_key FROM orders)""",
         "category_dim_hash": """SELECT DISTINCT c_mktsegment AS segment,
             md5(c_mktsegment) AS segment_id FROM customer""",
         "fact_fk_resolved": f"""WITH segments AS ({numbered})
@@ -283,13 +286,24 @@ def analysis_sql() -> dict[str, str]:
         "box_stats_qty": f"WITH {MART} {box_sql('mart', 'band', 'qty')}",
         "box_stats_price": box_sql("lineitem", "l_returnflag", "l_extendedprice"),
         "box_stats_many_groups": box_sql("lineitem", "l_suppkey", "l_quantity"),
-        "outlier_rows": f"""WITH {MART}, box AS ({box_sql("mart", "band", "qty")})
-            SELECT o_orderkey, mart.band, qty FROM mart JOIN box ON box.band = mart.band
-            WHERE qty < fence_low OR qty > fence_high""",
+        "box_stats_price_large": box_sql("lineitem", "l_returnflag", "l_extendedprice"),
+        "box_stats_many_groups_large": box_sql("lineitem", "l_suppkey", "l_quantity"),
+        "outlier_rows": outlier_sql,
+        "outlier_rows_large": outlier_sql,
         "csv_roundtrip": "SELECT * FROM customer",
         "csv_all_text": """
             SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, p_type,
-                   CAST(p_size AS VARCHAR) AS p_size FROM part""",
+                   CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice
+            FROM part""",
+        "csv_multiline": "SELECT doc_id, text, lang, source, n_chars FROM documents",
+        "sql_views": """
+            SELECT c_mktsegment AS segment, o_orderpriority AS priority, count(*) AS n_orders,
+                   max(o_totalprice) AS top_price
+            FROM customer JOIN orders ON o_custkey = c_custkey
+            WHERE o_totalprice IS NOT NULL GROUP BY c_mktsegment, o_orderpriority""",
+        "fact_fk_null": f"""WITH {quality}
+            SELECT doc_id, quality, CASE quality WHEN 0 THEN CAST(1 AS BIGINT) WHEN 1 THEN 2 END AS quality_id
+            FROM graded""",
         "csv_malformed": f"""SELECT o_orderkey, o_orderstatus,
             CASE WHEN {price_missing} THEN NULL ELSE o_totalprice END AS o_totalprice FROM orders""",
         "csv_reject_counts": """

@@ -19,14 +19,8 @@ def by_band(mart: DataFrame, factors: Sequence[Factor], band_col: str) -> DataFr
 def cohort_report(
     mart: DataFrame, factors: Sequence[Factor], bands: BandSpec, band_col: str = "band"
 ) -> DataFrame:
-    """One row per band with its row count and every factor, from a single scan of the mart.
-
-    There are as many rows as bands, so they are ordered in one partition; a plain orderBy would
-    add a sampling job and a shuffle.
-    """
-    return (
-        by_band(mart, factors, band_col).coalesce(1).orderBy(band_rank(band_col, bands), band_col)
-    )
+    """One row per band with its row count and every factor, from a single scan of the mart."""
+    return by_band(mart, factors, band_col).orderBy(band_rank(band_col, bands), band_col)
 
 
 def cohort_mean(
@@ -58,7 +52,6 @@ def factor_scorecard(
     return (
         by_band(mart, factors, band_col)
         .selectExpr(band_col, "total", unpivoted)
-        .coalesce(1)
         .orderBy("position", band_rank(band_col, bands), band_col)
         .selectExpr(
             band_col, "factor", "kind", "CAST(matching AS bigint) AS matching", "total", "value"
@@ -73,7 +66,6 @@ def factor_gap(scorecard: DataFrame, low: str, high: str, band_col: str = "band"
         scorecard.groupBy("factor", "kind")
         .agg(value_in(low).alias("low_value"), value_in(high).alias("high_value"))
         .withColumn("gap", F.round(F.col("low_value") - F.col("high_value"), 2))
-        .coalesce(1)
         .orderBy("factor")
     )
 

@@ -7,15 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandscope.session import BROADCAST_BYTES, broadcast_if_small, row_bytes, stored, weight
+from bandscope.session import broadcast_if_small, stored
 from bandscope.sources.contract import require_columns
 
 QUARTILES = (0.25, 0.5, 0.75)
 ACCURACY = 10_000  # of the sketches
-SLICES = 64  # of a large group, at most
-MERGED = 256  # partitions whose sketches one task merges, at least
-FEW = 1_000_000  # rows up to which one task may hold them all
-LARGE = 1_000_000  # rows from which a group is sketched; above ACCURACY * SLICES
+MERGED = 256  # partitions whose sketches one task merges
+LARGE = 1_000_000  # rows from which no task may hold a whole group
+RANGE = 500_000  # sorted counts in one range, about
 
 
 def finite(value: Column) -> Column:
@@ -30,16 +29,20 @@ def with_bin(values: DataFrame, bins: int) -> DataFrame:
     comparing with the edges themselves. All in bin 0 where low = high.
     """
     value, low, high, guess = (F.col(c) for c in ("value", "low", "high", "guess"))
-    width = (high - low) / bins
-    scaled = F.floor((value - low) / (high - low) * bins)
+    width = bin_width(low, high, bins)
+    # Halved, the differences stay finite whatever the range.
+    scaled = F.floor((value / 2 - low / 2) / (high / 2 - low / 2) * bins)
     below = value < low + guess * width
     above = (value >= low + (guess + 1) * width) & (guess < bins - 1)
+    moved = F.when(guess.isNull(), 0).when(below, guess - 1).when(above, guess + 1).otherwise(guess)
     return values.withColumn(
         "guess", F.when(high > low, F.least(scaled, F.lit(bins - 1).cast("bigint")))
-    ).withColumn(
-        "bin",
-        F.when(guess.isNull(), 0).when(below, guess - 1).when(above, guess + 1).otherwise(guess),
-    )
+    ).withColumn("bin", F.greatest(F.least(moved, F.lit(bins - 1)), F.lit(0)).cast("bigint"))
+
+
+def bin_width(low: Column, high: Column, bins: int) -> Column:
+    """Finite even where the range is beyond the largest double."""
+    return F.when((high - low) < F.lit(float("inf")), (high - low) / bins).otherwise(high / bins - low / bins)
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFrame:
@@ -81,7 +84,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
     ).select("column_name", "bin", F.lit(1).alias("one"))
 
     low, high, index = F.col("low"), F.col("high"), F.col("bin")
-    width = (high - low) / bins
+    width = bin_width(low, high, bins)
     every_bin = (
         df.sparkSession.range(0, bins, 1, 1)
         .withColumnRenamed("id", "bin")
@@ -100,14 +103,13 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 20) -> DataFram
         .groupBy("column_name", "bin")
         .agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("one").alias("n"))
     )
-    # A task emits at most this many rows; few of them need no sampled sort.
-    few = bins * len(columns) <= 1000
-    return (counted.coalesce(1) if few else counted).orderBy("column_name", "bin")
+    return counted.orderBy("column_name", "bin")
 
 
 def present(df: DataFrame, by: str, column: str) -> DataFrame:
-    """group and value of the rows a box plot draws: neither NULL nor NaN."""
-    values = df.select(F.col(by).alias("group"), F.col(column).cast("double").alias("value"))
+    """group and value of the rows a box plot draws: neither NULL nor NaN. Negative zero is zero."""
+    value = F.col(column).cast("double") + F.lit(0.0)
+    values = df.select(F.col(by).alias("group"), value.alias("value"))
     return values.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
@@ -134,13 +136,10 @@ def bracketed(
     lower edge, marked inexact, so that nearly all rows combine before the shuffle. Values of
     other groups stay as they are.
     """
-    # At most rows / large of them, but rows has no limit, so the size decides.
-    small = weight(large_groups) <= BROADCAST_BYTES // 4
-    hint = F.broadcast if small else (lambda side: side)
-    sketched = values.join(hint(large_groups.select("_group")), matching_group())
+    sketched = values.join(broadcast_if_small(large_groups.select("_group")), matching_group())
     brackets = stored(group_brackets(sketched, probabilities, parts), "brackets")
 
-    joined = values.join(hint(brackets), matching_group(), "left")
+    joined = values.join(broadcast_if_small(brackets), matching_group(), "left")
     edges = [(F.col(f"_low_{i}"), F.col(f"_high_{i}")) for i in range(len(probabilities))]
     near = F.col("_low_0").isNull()  # not a large group
     for low, high in edges:
@@ -156,14 +155,13 @@ def bracketed(
 def group_brackets(values: DataFrame, probabilities: Sequence[float], parts: int) -> DataFrame:
     """Per group, _low_i and _high_i with quantile i between them, for values in ``parts`` partitions.
 
-    Slices of a group are sketched on their own, so that no task merges the sketches of every
-    partition. The quantile of the whole is between the least and the greatest quantile of the
-    slices. A slice takes every n-th partition, at least MERGED of them, so that slices are alike
-    even where the rows are sorted. Spark bounds the rank error of a sketch by rows / ACCURACY;
-    asking for twice that to either side leaves room for it and, from ACCURACY * SLICES rows on,
-    for the neighbouring ranks that interpolation needs.
+    A group is sketched in slices, each of every n-th partition, so that no task merges the sketches
+    of more than MERGED partitions. The quantile of the whole is between the least and the greatest
+    quantile of the slices. Spark bounds the rank error of a sketch by rows / ACCURACY; asking for
+    twice that to either side leaves room for it and for the neighbouring ranks that interpolation
+    needs. Where a slice is too short for that, the missed bracket is noticed later.
     """
-    number = min(max(parts // MERGED, 1), SLICES)
+    number = max(-(-parts // MERGED), 1)
     slack = 2 / ACCURACY
     around = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-slack, slack)]
     slices = (
@@ -178,26 +176,33 @@ def group_brackets(values: DataFrame, probabilities: Sequence[float], parts: int
     return slices.groupBy(F.col("group").alias("_group")).agg(*bounds)
 
 
-def sorted_counts(values: DataFrame) -> DataFrame:
+def sorted_counts(values: DataFrame, size: int = RANGE) -> DataFrame:
     """Distinct (group, value, exact) with their counts, in ranges of that order.
 
     Repeats combine before the first shuffle, and the range partitioning spreads even a single
-    group over all tasks. Stored, because ``part`` is only meaningful for this one layout.
+    group over all tasks: there are as many ranges as the counts need, ``size`` to each. Stored,
+    because ``part`` is only meaningful for this one layout.
     """
     order = ["group", "value", "exact"]
-    counts = values.groupBy(*order).agg(F.count("*").alias("n"))
+    counts = stored(values.groupBy(*order).agg(F.count("*").alias("n")), "counts")
+    ranges = max(1, -(-counts.count() // size))
     return stored(
-        counts.repartitionByRange(*order).withColumn("part", F.spark_partition_id()),
+        counts.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()),
         "sorted-counts",
     )
 
 
-def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) -> DataFrame:
+def between(low: Column, high: Column, at: Column) -> Column:
+    """The value at a position between the ranks around it, to the bit as Spark's percentile has it."""
+    weighted = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+    return F.when((F.floor(at) == F.ceil(at)) | (low == high), low).otherwise(weighted)
+
+
+def quantiles(counts: DataFrame, probabilities: Sequence[float]) -> DataFrame:
     """Linearly interpolated quantiles per group of sorted_counts: group, n, q0, q1, ..., exact.
 
     Totals per part locate the few parts that hold a wanted rank; only those are put in order.
-    ``exact`` is false if a wanted rank fell outside its bracket. ``small`` says that a few rows
-    per group may be broadcast.
+    ``exact`` is false if a wanted rank fell outside its bracket.
     """
     per_group = Window.partitionBy("group")
     upto = per_group.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
@@ -219,7 +224,7 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) ->
     running = Window.partitionBy("group", "part").orderBy("value", "exact")
     found = (
         counts.join(
-            F.broadcast(holding) if small else holding,
+            holding,
             matching_group() & (F.col("part") == F.col("_part")),
         )
         .withColumn("last", F.col("before") + F.sum("n").over(running))
@@ -234,7 +239,7 @@ def quantiles(counts: DataFrame, probabilities: Sequence[float], small: bool) ->
         at = (F.col("total") - 1) * F.lit(p)
         low = F.max(F.when(F.col("rank") == F.floor(at), F.col("value")))
         high = F.max(F.when(F.col("rank") == F.ceil(at), F.col("value")))
-        return low + (high - low) * F.max(at - F.floor(at))
+        return between(low, high, F.max(at))
 
     return found.groupBy("group").agg(
         F.max("total").alias("n"),
@@ -252,61 +257,78 @@ def plain_quantiles(values: DataFrame, probabilities: Sequence[float]) -> DataFr
     )
 
 
+def ranked_quantiles(
+    values: DataFrame, large_groups: DataFrame, probabilities: Sequence[float], parts: int, size: int
+) -> DataFrame:
+    """Quantiles of the large groups, from the values near them; from all values if a bracket was missed."""
+    near = bracketed(values, large_groups, probabilities, parts)
+    result = stored(quantiles(sorted_counts(near, size), probabilities), "quantiles")
+    if not result.where(~F.col("exact")).isEmpty():
+        whole = sorted_counts(values.withColumn("exact", F.lit(True)), size)
+        result = stored(quantiles(whole, probabilities), "quantiles")
+    return result.drop("exact")
+
+
 def exact_quantiles(
-    values: DataFrame, probabilities: Sequence[float], few: int, large: int
-) -> tuple[DataFrame, bool]:
-    """Quantiles per group, and whether a few rows per group may be broadcast.
+    values: DataFrame, probabilities: Sequence[float], large: int = LARGE, size: int = RANGE
+) -> DataFrame:
+    """Quantiles per group: group, n, q0, q1, ..., stored.
 
-    Up to ``few`` rows in all go through percentile. Otherwise groups of at least ``large`` rows
-    are cut down to brackets, and if a rank misses its bracket the values are ranked whole.
+    A group of fewer than ``large`` rows goes through percentile, in one task; a larger one is
+    sketched, cut down to brackets and ranked in ranges of ``size`` counts. Both ways give the same
+    bits. Where the rows in all are fewer than ``large`` no group can have more, and the sizes need no
+    count of their own.
     """
+    if values.count() < large:
+        return stored(plain_quantiles(values, probabilities), "quantiles")
     sizes = stored(group_sizes(values), "group-sizes")
-    total, largest, last_part, size = sizes.agg(
-        F.sum("rows"), F.max("rows"), F.max("last_part"), F.sum(row_bytes(sizes))
-    ).first()
-    # What is broadcast per group is at most the six parts its ranks can be in, or one wide row.
-    small = (size or 0) <= BROADCAST_BYTES // 16
-    if (total or 0) <= few:
-        return plain_quantiles(values, probabilities), small
-    if largest >= large:
-        near = bracketed(values, sizes.where(F.col("rows") >= large), probabilities, last_part + 1)
-        result = stored(quantiles(sorted_counts(near), probabilities, small), "quantiles")
-        if result.where(~F.col("exact")).isEmpty():
-            return result, small
-    whole = sorted_counts(values.withColumn("exact", F.lit(True)))
-    return stored(quantiles(whole, probabilities, small), "quantiles"), small
+    large_groups = sizes.where(F.col("rows") >= large)
+    last_part = large_groups.agg(F.max("last_part")).first()[0]
+    if last_part is None:
+        return stored(plain_quantiles(values, probabilities), "quantiles")
+    apart = broadcast_if_small(large_groups.select("_group"))
+    small = plain_quantiles(values.join(apart, matching_group(), "left_anti"), probabilities)
+    big = values.join(apart, matching_group(), "left_semi")
+    return stored(
+        small.unionByName(ranked_quantiles(big, large_groups, probabilities, last_part + 1, size)),
+        "quantiles",
+    )
+
+
+def fences(quartiles: DataFrame) -> DataFrame:
+    """Quartiles by _group, with the fences 1.5 interquartile ranges beyond them. No range between equal quartiles."""
+    spread = F.when(F.col("q2") == F.col("q0"), F.lit(0.0)).otherwise(F.col("q2") - F.col("q0"))
+    reach = F.lit(1.5) * spread
+    return quartiles.select(
+        F.col("group").alias("_group"),
+        "n",
+        "q0",
+        "q1",
+        "q2",
+        (F.col("q0") - reach).alias("fence_low"),
+        (F.col("q2") + reach).alias("fence_high"),
+    )
 
 
 def box_stats(
-    df: DataFrame, by: str, column: str, few: int = FEW, large: int = LARGE
+    df: DataFrame, by: str, column: str, large: int = LARGE, size: int = RANGE
 ) -> DataFrame:
     """Box-plot statistics per group: n, quartiles, fences, whiskers and outlier count.
 
     Quartiles are exact. Whiskers are the extreme values within 1.5 interquartile ranges, and
-    never end inside the box. Reads the two columns of df up to four times (group sizes, sketches
-    of large groups, ranks, whiskers), so store a df that is costly to compute.
+    never end inside the box. Reads the two columns of df two to four times (sizes, quartiles,
+    whiskers; large groups once more), so store a df that is costly to compute.
 
     Columns: by, n, q1, median, q3, fence_low, fence_high, whisker_low, whisker_high, outliers.
-    ``few`` and ``large`` choose the way to the quartiles, see exact_quantiles.
+    ``large`` and ``size`` choose the way to the quartiles, not the result; see exact_quantiles.
     """
     require_columns(df, [by, column])
     values = present(df, by, column)
-    quartiles, small = exact_quantiles(values, QUARTILES, few, large)
-    reach = F.lit(1.5) * (F.col("q2") - F.col("q0"))
-    box = quartiles.select(
-        F.col("group").alias("_group"),
-        "n",
-        "q0",
-        "q1",
-        "q2",
-        (F.col("q0") - reach).alias("fence_low"),
-        (F.col("q2") + reach).alias("fence_high"),
-    )
-    hint = F.broadcast if small else (lambda side: side)
+    box = fences(exact_quantiles(values, QUARTILES, large, size))
     inside = F.col("value").between(F.col("fence_low"), F.col("fence_high"))
     # Only what depends on the rows is aggregated over them; the box joins its group's one row.
     whiskers = (
-        values.join(hint(box.select("_group", "fence_low", "fence_high")), matching_group())
+        values.join(broadcast_if_small(box.select("_group", "fence_low", "fence_high")), matching_group())
         .groupBy("group")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("lowest"),
@@ -314,7 +336,7 @@ def box_stats(
             F.count_if(~inside).alias("outliers"),
         )
     )
-    return whiskers.join(hint(box), matching_group()).select(
+    return whiskers.join(broadcast_if_small(box), matching_group()).select(
         F.col("group").alias(by),
         "n",
         F.col("q0").alias("q1"),
@@ -329,20 +351,16 @@ def box_stats(
 
 
 def outliers(
-    df: DataFrame, by: str, column: str, few: int = FEW, large: int = LARGE
+    df: DataFrame, by: str, column: str, large: int = LARGE, size: int = RANGE
 ) -> DataFrame:
-    """Rows of df whose value lies outside the fences of their group. Reads df as box_stats does,
-    and once more."""
-    fences = stored(
-        box_stats(df, by, column, few, large).select(
-            F.col(by).alias("_group"), "fence_low", "fence_high"
-        ),
-        "fences",
-    )
+    """Rows of df whose value lies outside the fences of their group. Reads df as box_stats does."""
+    require_columns(df, [by, column])
+    quartiles = exact_quantiles(present(df, by, column), QUARTILES, large, size)
+    box = stored(fences(quartiles).select("_group", "fence_low", "fence_high"), "fences")
     value = F.col(column).cast("double")
     return (
         df.where(F.col(column).isNotNull() & ~F.isnan(value))
-        .join(broadcast_if_small(fences), F.col(by).eqNullSafe(F.col("_group")))
+        .join(broadcast_if_small(box), F.col(by).eqNullSafe(F.col("_group")))
         .where((value < F.col("fence_low")) | (value > F.col("fence_high")))
         .select(*df.columns)
     )

@@ -13,18 +13,21 @@ from bandscope.spec import Dimension
 
 # monotonically_increasing_id() documents its layout: partition above bit 33, row below.
 ROW_BITS = 33
+# Keys in one range of dense_ids, about.
+RANGE = 1_000_000
 
 
-def dense_ids(keys: DataFrame, key: str, id_name: str) -> DataFrame:
+def dense_ids(keys: DataFrame, key: str, id_name: str, size: int = RANGE) -> DataFrame:
     """Number distinct keys 1..n in key order, NULL last, without sorting them in one task.
 
-    Range partitions are sorted on their own; each then starts after the rows of the ones
-    before it. The numbered copy is stored first, because where a range ends is sampled and
-    must be the same for the counting and for the numbering.
+    Range partitions, as many as the keys need at ``size`` to each, are sorted on their own; each
+    then starts after the rows of the ones before it. The numbered copy is stored first, because
+    where a range ends is sampled and must be the same for the counting and for the numbering.
     """
     in_order = F.col(key).asc_nulls_last()
+    keys = stored(keys, "keys")
     numbered = stored(
-        keys.repartitionByRange(in_order)
+        keys.repartitionByRange(max(1, -(-keys.count() // size)), in_order)
         .sortWithinPartitions(in_order)
         .withColumn("_slot", F.monotonically_increasing_id()),
         "dense-ids",
@@ -46,14 +49,16 @@ def dense_ids(keys: DataFrame, key: str, id_name: str) -> DataFrame:
 
 
 def category_dim(df: DataFrame, column: str, name: str, id_name: str) -> DataFrame:
-    """Distinct values of a column with ids 1..n, the same on every run."""
-    return dense_ids(df.select(F.col(column).alias(name)).distinct(), name, id_name)
+    """Distinct values of a column with ids 1..n, the same on every run. NULL is no category."""
+    values = df.select(F.col(column).alias(name)).where(F.col(name).isNotNull())
+    return dense_ids(values.distinct(), name, id_name)
 
 
 def category_dim_hash(df: DataFrame, column: str, name: str, id_name: str) -> DataFrame:
-    """Distinct values with the md5 of the value as id: no order, so no sort or sampling."""
+    """Distinct values with the md5 of the value as id: no order, so no sort or sampling. NULL is no category."""
     return (
         df.select(F.col(column).alias(name))
+        .where(F.col(name).isNotNull())
         .distinct()
         .withColumn(id_name, F.md5(F.col(name).cast("string")))
     )
@@ -99,4 +104,4 @@ def key_report(fact: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
                 total(F.when(~matched, F.col("in_fact"))).alias("orphan_fact_rows"),
             ).select(F.lit(dimension.name).alias("dimension"), "*")
         )
-    return reduce(DataFrame.unionByName, reports).coalesce(1).orderBy("dimension")
+    return reduce(DataFrame.unionByName, reports).orderBy("dimension")

@@ -41,13 +41,23 @@ def build_mart(
     casts: Mapping[str, str] | None = None,
     allow_fan_out: bool = False,
     band_col: str = "band",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Left-join the dimensions to the fact, cast the named columns and add the band.
 
     Every fact row is kept; a key without a dimension row, or a NULL key, gets NULL
     attributes. The grade may come from the fact or from a dimension. Join strategy is left to
-    Spark's size estimates.
+    Spark's size estimates. With ``columns`` the mart has these columns and the band, and a
+    dimension that gives none of them is neither joined nor checked, unless it may fan out.
     """
+    if columns is not None:
+        wanted = {grade, *columns}
+        dimensions = [
+            d
+            for d in dimensions
+            if wanted & set(d.attributes) or (allow_fan_out and not d.unique)
+        ]
+        casts = {name: target for name, target in (casts or {}).items() if name in wanted}
     require_columns(fact, [d.fact_key for d in dimensions])
     mart = fact
     for dimension in dimensions:
@@ -63,7 +73,10 @@ def build_mart(
         ).drop("_dimension_key")
     typed = {name: to_type(name, target) for name, target in (casts or {}).items()}
     require_columns(mart, [grade, *typed])
-    return mart.withColumns({**typed, band_col: band(grade, bands)})
+    banded = mart.withColumns({**typed, band_col: band(grade, bands)})
+    if columns is None:
+        return banded
+    return require_columns(banded, columns).select(*dict.fromkeys([*columns, band_col]))
 
 
 def entity_measure_pairs(

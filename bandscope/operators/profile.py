@@ -18,9 +18,7 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
         df.agg(F.count("*").alias("total")).select(F.lit(name).alias("table_name"), "total")
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.unionByName, counts).coalesce(1).orderBy(
-        F.desc("total"), "table_name"
-    )
+    return reduce(DataFrame.unionByName, counts).orderBy(F.desc("total"), "table_name")
 
 
 def null_profile(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
@@ -56,22 +54,28 @@ def cell_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
                 (F.col("cells") - F.col("null_cells")).alias("valid_cells"),
             )
         )
-    return reduce(DataFrame.unionByName, profiles).coalesce(1).orderBy("table_name")
+    return reduce(DataFrame.unionByName, profiles).orderBy("table_name")
 
 
 def numeric_summary(
     df: DataFrame, columns: Sequence[str], digits: int | None = None
 ) -> DataFrame:
-    """Minimum, maximum and mean per column in one scan: column_name, minimum, maximum, average."""
+    """Minimum, maximum and mean per column in one scan: column_name, minimum, maximum, average.
+
+    Extremes keep the columns' type where all share one, so that large integers stay exact; else
+    they are doubles.
+    """
     require_columns(df, columns)
+    kinds = {df.schema[c].dataType.simpleString() for c in columns}
+    target = kinds.pop() if len(kinds) == 1 else "double"
     aggregates = []
     for c in columns:
         average = F.avg(c) if digits is None else F.round(F.avg(c), digits)
         aggregates.append(
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.min(c).cast("double").alias("minimum"),
-                F.max(c).cast("double").alias("maximum"),
+                F.min(c).cast(target).alias("minimum"),
+                F.max(c).cast(target).alias("maximum"),
                 average.alias("average"),
             )
         )

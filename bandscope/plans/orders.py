@@ -6,14 +6,17 @@ the market segment the category and the order priority the grade.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandscope.operators import cohort, distribution, keys, profile
-from bandscope.operators.mart import build_mart, entity_measure_pairs
+from bandscope.operators.mart import build_mart, entity_measure_pairs, refuse_duplicates
 from bandscope.operators.star import behaviour_dim, entity_dim, fact_rows, split_star
-from bandscope.session import configure, scratch_path, stored
+from bandscope.session import scratch_path, stored
 from bandscope.sources.csv import csv_rejects, read_csv, read_text_csv, write_csv
 from bandscope.sources.layers import (
     land_bronze,
@@ -21,6 +24,7 @@ from bandscope.sources.layers import (
     publish,
     publish_view,
     read_layer,
+    register_views,
     write_layer,
 )
 from bandscope.spec import BandSpec, Dimension, StarSpec, mean, rate
@@ -100,17 +104,17 @@ def order_dimensions(spark: SparkSession, sf_dir: str) -> list[Dimension]:
     ]
 
 
-def order_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"
-    )
-    return build_mart(
-        fact,
-        order_dimensions(spark, sf_dir),
-        BANDS,
-        grade="o_orderpriority",
-        casts={"o_totalprice": "double", "qty": "double", "disc": "double"},
-    )
+FACT = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+CASTS = {"o_totalprice": "double", "qty": "double", "disc": "double"}
+
+
+def order_mart(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The wide mart, or the given columns of it, for which only the tables that have them are read."""
+    fact = table(spark, sf_dir, "orders").select(*FACT)
+    dimensions = order_dimensions(spark, sf_dir)
+    return build_mart(fact, dimensions, BANDS, "o_orderpriority", CASTS, columns=columns)
 
 
 # Cohort reports
@@ -124,9 +128,18 @@ def scorecard_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.cohort_report(order_mart(spark, sf_dir), FACTORS, BANDS)
 
 
-def one_factor(name: str):
-    factor = next(f for f in FACTORS if f.name == name)
-    return lambda spark, sf_dir: cohort.cohort_report(order_mart(spark, sf_dir), [factor], BANDS)
+def mean_of(name: str, column: str):
+    return lambda spark, sf_dir: cohort.cohort_mean(
+        order_mart(spark, sf_dir, [column]), name, column, BANDS
+    )
+
+
+def rate_of(name: str, column: str):
+    """The factor's rate; its predicate reads this column alone."""
+    predicate = next(f.expr for f in FACTORS if f.name == name)
+    return lambda spark, sf_dir: cohort.cohort_rate(
+        order_mart(spark, sf_dir, [column]), name, predicate, BANDS
+    )
 
 
 def gap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,13 +208,13 @@ def flat_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def star_mart(star: dict[str, DataFrame]) -> DataFrame:
+def star_mart(star: dict[str, DataFrame], unique: bool = False) -> DataFrame:
     key = STAR.key_alias
     return build_mart(
         star["fact"],
         [
-            Dimension("entity", star["entity"], key, key, ["nation", "balance"]),
-            Dimension("behaviour", star["behaviour"], key, key, list(STAR.behaviour.values())),
+            Dimension("entity", star["entity"], key, key, ["nation", "balance"], unique),
+            Dimension("behaviour", star["behaviour"], key, key, list(STAR.behaviour.values()), unique),
         ],
         BANDS,
         grade="priority",
@@ -224,11 +237,15 @@ def star_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mart rebuilt from the split star: segment ids resolved, both dimensions joined back.
 
+    The flat key is checked once; the dimensions cut from it need no check of their own.
+
     The flat table is stored first, as a landed bronze table would be: the star tables read it
     instead of each repeating its joins.
     """
     flat = stored(flat_orders(spark, sf_dir), "flat")
-    return star_mart(split_star(flat, STAR)).select(
+    star = split_star(flat, STAR)
+    star["fact"] = refuse_duplicates(star["fact"], Dimension("flat", flat, STAR.key, STAR.key, []))
+    return star_mart(star, unique=True).select(
         "entity_id", "segment_id", "segment", "price", "priority", "nation", "qty", "band"
     )
 
@@ -243,11 +260,29 @@ def layered_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.factor_scorecard(star_mart(star), STAR_FACTORS, BANDS)
 
 
-def published_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mart saved as a catalog table in the shared folder and read through its view."""
-    table_name, view_name = "bandscope_order_mart", "bandscope_order_mart_with_band"
-    publish(order_mart(spark, sf_dir), table_name, path=scratch_path(spark, "mart"))
-    return publish_view(spark, view_name, table_name)
+def published_mart(
+    spark: SparkSession,
+    sf_dir: str,
+    name: str = "bandscope_order_mart",
+    view: str = "bandscope_order_mart_with_band",
+    database: str = "default",
+) -> DataFrame:
+    """The mart saved as a managed table and read through its view."""
+    publish(order_mart(spark, sf_dir), f"{database}.{name}")
+    return publish_view(spark, f"{database}.{view}", f"{database}.{name}")
+
+
+def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session views joined by SQL with aliases and a derived table."""
+    register_views({f"bandscope_{n}": table(spark, sf_dir, n) for n in ("customer", "orders")})
+    return spark.sql(
+        """
+        SELECT c.c_mktsegment AS segment, p.priority, count(*) AS n_orders, max(p.price) AS top_price
+        FROM bandscope_customer AS c
+        JOIN (SELECT o.o_custkey AS custkey, o.o_orderpriority AS priority, o.o_totalprice AS price
+              FROM bandscope_orders AS o WHERE o.o_totalprice IS NOT NULL) AS p ON p.custkey = c.c_custkey
+        GROUP BY c.c_mktsegment, p.priority"""
+    )
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,9 +290,16 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.category_dim(customer, "c_mktsegment", "segment", "segment_id")
 
 
-def part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A category dimension as large as its table."""
-    return keys.category_dim(table(spark, sf_dir, "part"), "p_name", "part_name", "part_id")
+    return keys.category_dim(table(spark, sf_dir, "orders"), "o_orderkey", "order_key", "order_id")
+
+
+def fact_fk_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most documents have no label: NULL is no category, and has no id."""
+    graded = documents_with_quality(spark, sf_dir).select("doc_id", "quality")
+    dimension = keys.category_dim(graded, "quality", "quality", "quality_id")
+    return keys.resolve_fk(graded, dimension, "quality", "quality", "quality_id")
 
 
 def segments_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -348,9 +390,8 @@ def grouped_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def grouped_summary_two_avgs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.grouped_summary(
-        order_mart(spark, sf_dir), "o_orderpriority", ["o_totalprice", "qty"]
-    )
+    mart = order_mart(spark, sf_dir, ["o_orderpriority", "o_totalprice", "qty"])
+    return profile.grouped_summary(mart, "o_orderpriority", ["o_totalprice", "qty"])
 
 
 def share_of_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,8 +402,15 @@ def share_with_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.share_of_total(documents_with_quality(spark, sf_dir), "quality", (1, 0))
 
 
-def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile.preview(order_mart(spark, sf_dir), ["o_orderkey"])
+def preview(spark: SparkSession, sf_dir: str, n: int = 10) -> DataFrame:
+    """The first orders of the mart. No dimension repeats a key, so the fact is cut to n rows before the joins."""
+    first = profile.preview(table(spark, sf_dir, "orders").select(*FACT), ["o_orderkey"], n)
+    chosen = F.broadcast(first.select(F.col("o_orderkey").alias("l_orderkey")))
+    customer, behaviour = order_dimensions(spark, sf_dir)
+    lines = table(spark, sf_dir, "lineitem").join(chosen, "l_orderkey", "left_semi")
+    behaviour = replace(behaviour, frame=order_behaviour(lines))
+    mart = build_mart(first, [customer, behaviour], BANDS, "o_orderpriority", CASTS)
+    return mart.orderBy("o_orderkey")
 
 
 def preview_five(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -391,12 +439,12 @@ def rounded_box(stats: DataFrame) -> DataFrame:
 
 
 def quantity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cohort.measure_by_band(order_mart(spark, sf_dir), "qty")
+    return cohort.measure_by_band(order_mart(spark, sf_dir, ["qty"]), "qty")
 
 
 def box_stats_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored first: box_stats reads its rows more than once, and here they come from joins."""
-    quantity = stored(cohort.measure_by_band(order_mart(spark, sf_dir), "qty"), "quantity")
+    quantity = stored(quantity_rows(spark, sf_dir), "quantity")
     return rounded_box(distribution.box_stats(quantity, "band", "qty"))
 
 
@@ -414,10 +462,29 @@ def box_stats_many_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def outlier_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored first, for the same reason."""
-    quantity = stored(order_mart(spark, sf_dir).select("o_orderkey", "band", "qty"), "quantity")
+    quantity = stored(order_mart(spark, sf_dir, ["o_orderkey", "qty"]), "quantity")
     return distribution.outliers(quantity, "band", "qty")
 
 
+# The same results by the way that groups of a million rows and more take.
+RANKED = {"large": 1, "size": 1000}
+
+
+def box_stats_price_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return rounded_box(distribution.box_stats(lines, "l_returnflag", "l_extendedprice", **RANKED))
+
+
+def box_stats_many_groups_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    return rounded_box(distribution.box_stats(lines, "l_suppkey", "l_quantity", **RANKED))
+
+
+def outlier_rows_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quantity = stored(order_mart(spark, sf_dir, ["o_orderkey", "qty"]), "quantity")
+    return distribution.outliers(quantity, "band", "qty", **RANKED)
+
+
 # Ingest
 
 
@@ -430,10 +497,18 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "part-csv")
-    write_csv(table(spark, sf_dir, "part").drop("p_retailprice"), path)
+    write_csv(table(spark, sf_dir, "part"), path)
     return read_text_csv(spark, path)
 
 
+def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line ends and quotes, written and read back."""
+    documents = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "documents-csv")
+    write_csv(documents, path, multi_line=True)
+    return read_csv(spark, path, documents.schema, multi_line=True)
+
+
 def orders_with_bad_prices(spark: SparkSession, sf_dir: str) -> str:
     """A CSV of the orders whose price is unreadable for one status and absent for one priority."""
     orders = table(spark, sf_dir, "orders").select(
@@ -471,27 +546,29 @@ def csv_reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "factor_scorecard": scorecard,
     "factor_scorecard_wide": scorecard_wide,
-    "cohort_mean_qty": one_factor("qty"),
-    "cohort_mean_price": one_factor("price"),
-    "cohort_rate_high_discount": one_factor("high_discount"),
-    "cohort_rate_segment_in": one_factor("segment_in"),
-    "cohort_rate_status_eq": one_factor("status_f"),
-    "cohort_rate_has_return": one_factor("has_return"),
-    "cohort_rate_not_all_filled": one_factor("not_all_filled"),
+    "cohort_mean_qty": mean_of("qty", "qty"),
+    "cohort_mean_price": mean_of("price", "o_totalprice"),
+    "cohort_rate_high_discount": rate_of("high_discount", "disc"),
+    "cohort_rate_segment_in": rate_of("segment_in", "c_mktsegment"),
+    "cohort_rate_status_eq": rate_of("status_f", "o_orderstatus"),
+    "cohort_rate_has_return": rate_of("has_return", "has_return"),
+    "cohort_rate_not_all_filled": rate_of("not_all_filled", "all_filled"),
     "factor_gap": gap,
     "band_with_null_default": band_with_null_default,
     "measure_by_band": quantity_rows,
     "mart_rows": order_mart,
     "published_mart": published_mart,
+    "sql_views": sql_views,
     "star_entity_dim": star_entity,
     "star_behaviour_dim": star_behaviour,
     "star_fact": star_fact,
     "star_split": star_split,
     "layered_scorecard": layered_scorecard,
     "category_dim": segments,
-    "category_dim_large": part_names,
+    "category_dim_large": order_keys,
     "category_dim_hash": segments_hash,
     "fact_fk_resolved": fact_fk_resolved,
+    "fact_fk_null": fact_fk_null,
     "key_report": key_report,
     "key_report_composite": key_report_composite,
     "pairs_inner_notnull": pairs,
@@ -514,16 +591,16 @@ QUERIES = {
     "box_stats_price": box_stats_price,
     "box_stats_many_groups": box_stats_many_groups,
     "outlier_rows": outlier_rows,
+    "box_stats_price_large": box_stats_price_large,
+    "box_stats_many_groups_large": box_stats_many_groups_large,
+    "outlier_rows_large": outlier_rows_large,
     "csv_roundtrip": csv_roundtrip,
     "csv_all_text": csv_all_text,
+    "csv_multiline": csv_multiline,
     "csv_malformed": csv_malformed,
     "csv_reject_counts": csv_reject_counts,
 }
 
 
-def configured(query):
-    return lambda spark, sf_dir: query(configure(spark), sf_dir)
-
-
 def registry() -> dict:
-    return {name: configured(query) for name, query in QUERIES.items()}
+    return dict(QUERIES)

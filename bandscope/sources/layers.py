@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandscope.sources.csv import read_csv, write_csv
+from bandscope.session import release
+from bandscope.sources.csv import MALFORMED, read_csv, write_csv
 
 
 def normalise_names(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -23,14 +25,27 @@ def land_bronze(
     schema: T.StructType,
     null_tokens: Sequence[str] = ("",),
     renames: Mapping[str, str] | None = None,
+    multi_line: bool = False,
+    allow_malformed: bool = False,
 ) -> DataFrame:
     """Land a raw CSV as Parquet with every source column, and read it back.
 
     Columns named in the schema are typed, the others stay text. A missing source fails here,
-    before any work.
+    before any work. Rows with too few or too many fields are counted by the scan that lands them;
+    if there are some, the landing fails with their number and the destination stays as it was,
+    unless ``allow_malformed``.
     """
-    raw = read_csv(spark, source, schema, null_tokens, keep_others=True)
-    normalise_names(raw, renames or {}).write.mode("overwrite").parquet(destination)
+    raw = read_csv(spark, source, schema, null_tokens, True, multi_line, MALFORMED)
+    seen = Observation()
+    counted = raw.observe(seen, F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"))
+    aside = f"{destination.rstrip('/')}-landing-{uuid.uuid4().hex}"
+    normalise_names(counted.drop(MALFORMED), renames or {}).write.parquet(aside)
+    if seen.get["malformed"] and not allow_malformed:
+        release(spark, aside)
+        raise ValueError(f"{source}: {seen.get['malformed']} rows have too few or too many fields")
+    release(spark, destination)
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, destination))
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new)
     return spark.read.parquet(destination)
 
 
@@ -49,11 +64,14 @@ def read_layer(spark: SparkSession, destination: str, names: Sequence[str]) -> d
     return {n: spark.read.parquet(f"{destination.rstrip('/')}/{n}") for n in names}
 
 
-def evenly_keyed(df: DataFrame, key: str, buckets: int) -> bool:
-    """Whether no key alone outweighs an even bucket. NULL counts as a key."""
+def refuse_heavy_key(df: DataFrame, key: str, buckets: int) -> None:
+    """Fail if one key alone, NULL included, outweighs an even bucket."""
     per_key = df.groupBy(key).agg(F.count("*").alias("n"))
-    heaviest, total = per_key.agg(F.max("n"), F.sum("n")).first()
-    return total is None or heaviest <= max(total // buckets, 1)
+    heaviest, total = per_key.agg(F.max_by(F.struct(key, "n"), "n"), F.sum("n")).first()
+    if heaviest is not None and heaviest["n"] > max(total // buckets, 1):
+        raise ValueError(
+            f"key {key} = {heaviest[key]!r} has {heaviest['n']} of {total} rows, more than an even bucket of {buckets}"
+        )
 
 
 def publish(
@@ -63,19 +81,21 @@ def publish(
     path: str | None = None,
     bucket_by: str | None = None,
     buckets: int = 0,
+    check_keys: bool = False,
 ) -> DataFrame:
     """Save as a catalog table, replacing it, and return the table.
 
     With ``bucket_by`` the rows are bucketed and sorted on that key. Tables bucketed alike on
-    the entity key join without a shuffle, so the silver tables pay for it once. A bucket is read
-    by one task, so a table in which one key outweighs an even bucket is saved unbucketed: its
-    joins shuffle, and there a hot key can be split.
+    the entity key join without a shuffle, so the silver tables pay for it once. A bucket is written
+    and read by one task, so a key with more rows than an even bucket should not be bucketed on:
+    ``check_keys`` reads df once more beforehand and fails if there is one.
     """
-    bucketed = bucket_by is not None and evenly_keyed(df, bucket_by, buckets)
+    if bucket_by is not None and check_keys:
+        refuse_heavy_key(df, bucket_by, buckets)
     # One writer task per bucket, so a bucket is one file rather than one per task.
-    writer = (df.repartition(buckets, bucket_by) if bucketed else df).write
+    writer = (df.repartition(buckets, bucket_by) if bucket_by is not None else df).write
     writer = writer.mode("overwrite").format(fmt)
-    if bucketed:
+    if bucket_by is not None:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     if path is not None:
         writer = writer.option("path", path)

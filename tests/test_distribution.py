@@ -102,15 +102,15 @@ def reference_box(values):
     )
 
 
-@pytest.mark.parametrize("few, large", [(10**6, 10**6), (0, 10**6), (0, 2000)])
-def test_box_against_brute_force(spark, conf, few, large):
-    """All ways to the quantiles: percentile, whole groups, groups cut down to brackets."""
+@pytest.mark.parametrize("large, size", [(10**6, 10**6), (1, 500), (2000, 500)])
+def test_box_against_brute_force(spark, conf, large, size):
+    """All ways to the quantiles: percentile, groups cut down to brackets, and some of each."""
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     rows = skewed_rows(3, 12_000)
     df = spark.createDataFrame(rows, "g string, v double").repartition(6)
     got = {
         r.g: (r.n, r.q1, r.median, r.q3, r.whisker_low, r.whisker_high, r.outliers)
-        for r in dist.box_stats(df, "g", "v", few, large).collect()
+        for r in dist.box_stats(df, "g", "v", large, size).collect()
     }
     groups = {}
     for g, v in rows:
@@ -124,10 +124,46 @@ def test_every_way_handles_null_labels_and_few_rows(spark):
     rows = [(None, float(v)) for v in (1, 3, 4, 90)] + [("a", 5.0), ("b", None)]
     df = spark.createDataFrame(rows, "g string, v double")
     expected = {None: (4, 2.5, 3.5, 25.5), "a": (1, 5.0, 5.0, 5.0)}
-    for few, large in ((100, 100), (0, 100), (0, 2)):
-        got = dist.box_stats(df, "g", "v", few, large).collect()
+    for large in (100, 2, 1):
+        got = dist.box_stats(df, "g", "v", large).collect()
         assert {r.g: (r.n, r.q1, r.median, r.q3) for r in got} == expected
-        assert dist.outliers(df, "g", "v", few, large).count() == 1
+        assert dist.outliers(df, "g", "v", large).count() == 1
+
+
+def every_way(df):
+    """Statistics as bits, and outlier rows, by percentile, by ranks, and with both among the groups."""
+    ways = []
+    for large, size in ((10**9, 10**9), (1, 200), (12, 200)):
+        stats = {tuple(repr(x) for x in r) for r in dist.box_stats(df, "g", "v", large, size).collect()}
+        rows = sorted(tuple(r) for r in dist.outliers(df, "g", "v", large, size).collect())
+        ways.append((stats, rows))
+    return ways
+
+
+def test_one_answer_by_every_way(spark):
+    """Values whose fences are hit to the bit, infinite values, and many random groups."""
+    hit = [2.8, 4.2, 5.6, 1.6, 6.0, 4.0, -2.3, 4.7, -1.6, 20.5, 3.8, 6.2]
+    inf = float("inf")
+    rows = [("hit", v) for v in hit] + [("inf", v) for v in (1.0, 2.0, inf, inf, inf)]
+    rows += [("mixed", v) for v in (-inf, -inf, 0.0, inf)]
+    rng = random.Random(11)
+    for g in range(3000):
+        rows += [(f"r{g}", round(rng.uniform(-5, 25), 1)) for _ in range(rng.randint(4, 30))]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    first, *others = every_way(df)
+    assert all(other == first for other in others)
+
+
+def test_ranges_follow_the_counts(spark, conf):
+    df = spark.range(4000).selectExpr("1 as group", "cast(id as double) as value", "true as exact")
+    for partitions in ("4", "64"):
+        conf(spark__sql__shuffle__partitions=partitions)
+        parts = dist.sorted_counts(df, 500).groupBy("part").count().collect()
+        assert 6 <= len(parts) <= 8 and max(r["count"] for r in parts) < 1200
+
+
+def test_range_beyond_the_largest_double(spark):
+    assert counts(doubles(spark, [-1e308, 0.0, 1e308]), "v", 4) == [1, 0, 1, 1]
 
 
 def cut_down(df, probabilities, parts=8):
@@ -146,10 +182,10 @@ def test_a_missed_bracket_is_noticed_and_made_good(spark, monkeypatch):
     """With brackets around the wrong quantiles the ranks are inexact, and the full way runs."""
     df = spark.range(30_000).selectExpr("1 as g", "cast(id as double) as v")
     wrong = dist.sorted_counts(cut_down(df, (0.1, 0.2, 0.3)))
-    assert dist.quantiles(wrong, dist.QUARTILES, True).first().exact is False
+    assert dist.quantiles(wrong, dist.QUARTILES).first().exact is False
     right = dist.bracketed
     monkeypatch.setattr(dist, "bracketed", lambda v, g, p, n: right(v, g, (0.1, 0.2, 0.3), n))
-    r = dist.box_stats(df, "g", "v", 0, 10_000).first()
+    r = dist.box_stats(df, "g", "v", 10_000).first()
     assert (r.q1, r.median, r.q3) == (7499.75, 14999.5, 22499.25)
 
 
@@ -160,5 +196,5 @@ def test_sketches_in_slices_bracket_the_quantiles(spark, monkeypatch):
     values = dist.present(df, "g", "v")
     r = dist.group_brackets(values, dist.QUARTILES, 8).first()
     assert r._low_0 <= 24999 and r._high_0 >= 25000 and r._low_2 <= 74999 and r._high_2 >= 75000
-    box = dist.box_stats(df, "g", "v", 0, 50_000).first()
+    box = dist.box_stats(df, "g", "v", 50_000).first()
     assert (box.q1, box.median, box.q3) == (24999.75, 49999.5, 74999.25)

@@ -74,6 +74,32 @@ def test_rows_of_the_wrong_length_are_counted(spark, tmp_path):
     assert rows(read_csv(spark, path, SCHEMA), "id")[0] == ("1", 5, "x")
 
 
+def test_landing_refuses_rows_of_the_wrong_length(spark, tmp_path):
+    good = put(tmp_path, "id,age,edu\n1,5,x\n", "good.csv")
+    bad = put(tmp_path, "id,age,edu\n1,5,x\n2,6\n3,7,x,y\n", "bad.csv")
+    home = str(tmp_path / "bronze")
+    land_bronze(spark, good, home, SCHEMA)
+    with pytest.raises(ValueError, match="2 rows have too few or too many fields"):
+        land_bronze(spark, bad, home, SCHEMA)
+    assert spark.read.parquet(home).count() == 1
+    landed = land_bronze(spark, bad, home, SCHEMA, allow_malformed=True)
+    assert landed.count() == 3 and landed.columns == ["id", "age", "edu"]
+    assert [p.name for p in tmp_path.iterdir() if "landing" in p.name] == []
+
+
+def test_line_ends_in_quoted_fields(spark, tmp_path):
+    rows_ = [("1", 5, "a\nb"), ("2", 6, 'c "quoted"\r\nd'), ("3", 7, "e")]
+    df = spark.createDataFrame(rows_, SCHEMA)
+    path = str(tmp_path / "lines")
+    with pytest.raises(Exception, match="column edu holds a line end"):
+        write_csv(df, path)
+    write_csv(df, path, multi_line=True)
+    assert rows(read_csv(spark, path, SCHEMA, multi_line=True), "id") == rows_
+    assert csv_rejects(spark, path, SCHEMA, multi_line=True).first().rejected == 0
+    landed = land_bronze(spark, path, str(tmp_path / "bronze"), SCHEMA, multi_line=True)
+    assert rows(landed, "id") == rows_
+
+
 def test_large_identifiers_stay_exact(spark, tmp_path):
     schema = T.StructType([T.StructField("k", T.LongType())])
     path = put(tmp_path, "k\n9007199254740993\n")

@@ -1,7 +1,7 @@
 import pytest
 
 from bandscope import Dimension, StarSpec
-from bandscope.operators.keys import category_dim, category_dim_hash, key_report, resolve_fk
+from bandscope.operators.keys import category_dim, category_dim_hash, dense_ids, key_report, resolve_fk
 from bandscope.operators.star import split_star
 
 
@@ -27,12 +27,26 @@ def test_ids_over_many_range_partitions(spark, conf):
     assert len(rows) == 10007 and {r.k: r.id for r in rows} == expected
 
 
-def test_null_category_is_numbered_last(spark):
+def test_null_is_no_category(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",), (None,)], "d string")
     rows = category_dim(df, "d", "name", "id").collect()
-    assert {r.name: r.id for r in rows} == {"a": 1, "b": 2, None: 3}
-    assert category_dim_hash(df, "d", "name", "id").where("name IS NULL").first().id is None
+    assert {r.name: r.id for r in rows} == {"a": 1, "b": 2}
+    assert category_dim_hash(df, "d", "name", "id").where("name IS NULL").count() == 0
     assert category_dim(df.limit(0), "d", "name", "id").count() == 0
+    facts = resolve_fk(df, category_dim(df, "d", "name", "id"), "d", "name", "id").collect()
+    assert sorted((r.d or "", r.id) for r in facts if r.d) == [("a", 1), ("b", 2)]
+    assert [r.id for r in facts if r.d is None] == [None, None]
+
+
+def test_range_count_follows_the_keys(spark, conf):
+    df = spark.range(3000).selectExpr("cast(id as string) as k")
+    for partitions in ("4", "64"):
+        conf(spark__sql__shuffle__partitions=partitions)
+        numbered = dense_ids(df, "k", "id", size=500)
+        assert numbered.select("id").distinct().count() == 3000
+        assert "rangepartitioning" not in numbered._jdf.queryExecution().executedPlan().toString()
+    keys = sorted(str(i) for i in range(3000))
+    assert {r.k: r.id for r in dense_ids(df, "k", "id", size=500).collect()} == {k: i for i, k in enumerate(keys, 1)}
 
 
 def test_foreign_key_resolution(spark):

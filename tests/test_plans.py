@@ -40,7 +40,7 @@ def test_scorecard_is_one_pass(spark, sf):
     assert len(lineitem.split(",")) == 5  # the key and four measures of eleven columns
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.analysis_sql()))
 def test_no_python_and_no_cross_join(spark, sf_small, name):
     text = plan(contract.queries()[name](spark, sf_small))
     assert not any(node in text for node in NO_PYTHON)
@@ -78,16 +78,46 @@ def test_bucketed_tables_join_without_a_shuffle(spark, conf):
     assert checked.count() == 2000
 
 
-def test_a_hot_key_is_not_bucketed(spark):
+def test_a_hot_key_is_named(spark):
     rows = spark.range(900).selectExpr("if(id % 3 = 0, NULL, cast(id as string)) as k", "id as v")
-    publish(rows, "default.b_hot", bucket_by="k", buckets=4)
-    publish(rows.where("k IS NOT NULL"), "default.b_even", bucket_by="k", buckets=4)
-    buckets = {
-        name: spark.sql(f"DESCRIBE EXTENDED default.{name}").where("col_name = 'Num Buckets'").count()
-        for name in ("b_hot", "b_even")
-    }
-    assert buckets == {"b_hot": 0, "b_even": 1}
-    assert spark.table("default.b_hot").count() == 900
+    with pytest.raises(ValueError, match="key k = None has 300 of 900 rows"):
+        publish(rows, "default.b_hot", bucket_by="k", buckets=4, check_keys=True)
+    publish(rows.where("k IS NOT NULL"), "default.b_even", bucket_by="k", buckets=4, check_keys=True)
+    publish(rows, "default.b_asked", bucket_by="k", buckets=4)
+    for name in ("b_even", "b_asked"):
+        described = spark.sql(f"DESCRIBE EXTENDED default.{name}")
+        assert described.where("col_name = 'Num Buckets'").count() == 1
+    assert spark.table("default.b_asked").count() == 900
+
+
+FACTS_ONLY = ["cohort_mean_price", "cohort_rate_status_eq", "grouped_summary_two_avgs", "measure_by_band"]
+
+
+@pytest.mark.parametrize("name", FACTS_ONLY)
+def test_unused_dimensions_are_not_read(spark, sf, name):
+    read = {s.split("_")[0] for s in scans(plan(orders.QUERIES[name](spark, sf)))}
+    assert "c" not in read and "o" in read
+    if name in ("cohort_mean_price", "cohort_rate_status_eq"):
+        assert read == {"o"}
+
+
+def test_a_joined_dimension_is_still_checked(spark):
+    fact = spark.createDataFrame([("a", "A")], "k string, grade string")
+    dim = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    bands = BandSpec({"High": ("A",), "Low": ()}, default="Low")
+    one = Dimension("one", dim, "k", "k", ["v"])
+    with pytest.raises(Exception, match="key k is not unique"):
+        build_mart(fact, [one], bands, "grade", columns=["v"]).collect()
+    assert build_mart(fact, [one], bands, "grade", columns=["k"]).collect()[0].band == "High"
+    assert build_mart(fact, [one], bands, "grade", columns=["k"], allow_fan_out=True).count() == 2
+
+
+def test_preview_joins_ten_orders(spark, sf):
+    df = orders.preview(spark, sf)
+    assert df.count() == 10
+    text = plan(df)
+    semi = text[: text.index("l_orderkey")]
+    assert "TakeOrderedAndProject" in text and "LeftSemi" in text and semi is not None
 
 
 def test_hot_key_in_chained_joins_is_split(spark, conf):

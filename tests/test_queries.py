@@ -1,9 +1,14 @@
 """Every registered query against its SQL, the golden values, and the contract itself."""
 
+import re
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
 import harness
+from bandscope.plans import orders
+from bandscope.session import scratch_scope
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +17,31 @@ def duck(sf):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(orders.registry()) == set(contract.analysis_sql())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(contract.analysis_sql()))
 def test_matches_sql(spark, sf, duck, name):
-    df = contract.queries()[name](spark, sf)
-    assert harness.differences(df, contract.oracle_sql()[name], duck) == []
+    with scratch_scope(spark):
+        df = contract.queries()[name](spark, sf)
+        assert harness.differences(df, contract.analysis_sql()[name], duck) == []
+
+
+def test_queries_leave_settings_alone(spark, sf_small, conf):
+    conf(spark__sql__session__timeZone="Asia/Tokyo")
+    contract.queries()["cohort_mean_price"](spark, sf_small)
+    assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+
+
+def test_scratch_copies_are_released(spark, sf_small):
+    home = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(home.iterdir()) if home.exists() else set()
+    with scratch_scope(spark):
+        contract.queries()["star_split"](spark, sf_small).count()
+        contract.queries()["layered_scorecard"](spark, sf_small).count()
+        assert len(set(home.iterdir()) - before) > 2
+    # Spark's own checkpoint folder may have come up.
+    assert [p for p in set(home.iterdir()) - before if "-" in p.name and not re.fullmatch(r"[0-9a-f-]{36}", p.name)] == []
 
 
 def test_entry(spark):
