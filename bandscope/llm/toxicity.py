@@ -3,8 +3,9 @@
 Features of a text are its distinct words, its distinct pairs of neighbouring words and its distinct
 pairs one word apart, hashed into `2 ** bits` slots. FTRL-proximal gives every slot its own learning
 rate and sets the weights of uninformative slots to exactly zero, so that what is broadcast is a short
-list of (slot, weight) rows. The model is fitted on a bounded sample of labelled rows, about `SAMPLE` of
-them, chosen by a hash of their id. Scoring reads every whole text once, without a shuffle.
+list of (slot, weight) rows; the shrunken margins are then calibrated on the training rows. The model
+is fitted on a bounded sample of labelled rows, about `SAMPLE` of them, chosen by a hash of their id.
+Scoring reads every whole text once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -28,14 +29,11 @@ SKIPS = ((), (1,), (2,))
 
 @dataclass(frozen=True)
 class Ftrl:
-    """Settings of the fit; `positive` multiplies the gradient of rows labelled 1."""
-
     alpha: float = 0.5
     beta: float = 1.0
     l1: float = 20.0
     l2: float = 0.1
     epochs: int = 6
-    positive: float = 3.0
 
 
 @dataclass
@@ -66,7 +64,6 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int, how: Ftrl) -> tup
             l1[-1] = 0.0
             w[at] = np.where(np.abs(z[at]) <= l1, 0.0, -(z[at] - np.sign(z[at]) * l1) / rate)
             error = 1 / (1 + np.exp(-np.clip(w[at].sum(), -35, 35))) - label
-            error *= how.positive if label else 1.0
             step = (np.sqrt(n[at] + error * error) - np.sqrt(n[at])) / how.alpha
             z[at] += error - step * w[at]
             n[at] += error * error
@@ -75,6 +72,26 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int, how: Ftrl) -> tup
     return w[:-1], float(-z[-1] / rate[-1])
 
 
+def calibrate(margins: np.ndarray, labels: np.ndarray, pull: float = 0.01) -> tuple[float, float]:
+    """Scale and shift that turn margins into log odds, by Newton's method; the scale is pulled towards 1.
+
+    The targets are those of Platt: a little inside 0 and 1, by the number of rows of each label.
+    """
+    ones = labels.sum()
+    target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (len(labels) - ones + 2))
+    scale, shift = 1.0, 0.0
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(scale * margins + shift, -35, 35)))
+        w = p * (1 - p)
+        slope = np.array([((p - target) * margins).sum() + pull * (scale - 1), (p - target).sum()])
+        bend = np.array([[(w * margins * margins).sum() + pull, (w * margins).sum()], [(w * margins).sum(), w.sum() + 1e-6]])
+        step = np.clip(np.linalg.solve(bend, slope), -1, 1)
+        scale, shift = max(0.0, scale - step[0]), shift - step[1]
+        if np.abs(step).max() < 1e-6:
+            break
+    return float(scale), float(shift)
+
+
 def held_out_fold(doc_id: str, folds: int = 4) -> Column:
     """crc32 of the id as text, modulo `folds`. A null id is in fold 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % folds, F.lit(0))
@@ -116,9 +133,13 @@ def train(examples: DataFrame, bits: int = BITS, how: Ftrl = Ftrl()) -> Model:
                 order += part.column("order").to_pylist()
         turn = np.lexsort((np.array([len(r) for r in rows], np.int64), np.array(order, np.int64)))
         w, bias = fit([rows[i] for i in turn], np.array(labels, float)[turn], bits, how)
+        scale, shift = calibrate(np.array([w[r].sum() + bias for r in rows]), np.array(labels, float)) if rows else (1.0, 0.0)
         slots = np.flatnonzero(w)
         yield pa.record_batch(
-            {"slot": np.append(slots, -1).astype(np.int64), "weight": np.append(w[slots], bias if rows else 0.0)}
+            {
+                "slot": np.append(slots, -1).astype(np.int64),
+                "weight": np.append(w[slots] * scale, bias * scale + shift if rows else 0.0),
+            }
         )
 
     found = both.coalesce(1).mapInArrow(fitted, "slot long, weight double").collect()
