@@ -4,7 +4,8 @@ Records lie one after another; the ranges of `RANGE` bytes they begin in are the
 hash of its records' offsets, lengths and digests in order. A node above is the hash of its children in
 order. Two replicas are compared from the root down, and only the children of nodes that differ are looked
 at, until the records of the differing ranges tell what is corrupt. All of it is aggregation and joins; a
-group holds at most the records that begin in one range, or `FANOUT` nodes.
+group holds at most the records that begin in one range (few, since every record has a header), or
+`FANOUT` nodes.
 """
 
 from __future__ import annotations
@@ -16,8 +17,8 @@ from bandscope.session import broadcast_if_small, stored
 
 RANGE = 1 << 18
 FANOUT = 16
-# Every record has a header, so a range holds a bounded number of records.
-HEADER = 64
+# Records that one task lays out, about.
+LAID = 50_000
 
 
 def warc_record(uri: Column, body: Column) -> Column:
@@ -43,13 +44,14 @@ def digested(rows: DataFrame, record_id: str, record: Column) -> DataFrame:
     )
 
 
-def laid_out(records: DataFrame, order: tuple[str, ...]) -> DataFrame:
+def laid_out(records: DataFrame, order: tuple[str, ...], size: int = LAID) -> DataFrame:
     """`records` with the `offset` of each when they lie in the given order, without gaps.
 
-    Records are range-partitioned by the order; a range starts after the bytes of the ranges before it,
-    one short row a range.
+    Records are range-partitioned by the order, `size` to a range; a range starts after the bytes of the
+    ranges before it, one short row a range.
     """
-    ranged = records.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = max(1, -(-records.count() // size))
+    ranged = records.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     ranged = stored(ranged.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "laid")
     sizes = ranged.groupBy("_part").agg(F.sum("length").alias("_bytes"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

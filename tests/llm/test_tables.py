@@ -57,7 +57,7 @@ def test_only_differing_branches_are_descended(spark):
 
 def test_records_are_laid_out_without_gaps(spark):
     rows = [(i, (i * 7) % 13 + 1) for i in range(1000)] + [(None, 5), (3, 4)]
-    laid = fixity.laid_out(spark.createDataFrame(rows, "page_id long, length long").repartition(7), ("page_id", "length")).collect()
+    laid = fixity.laid_out(spark.createDataFrame(rows, "page_id long, length long").repartition(7), ("page_id", "length"), 90).collect()
     at = 0
     for r in sorted(laid, key=lambda r: r.offset):
         assert r.offset == at
