@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,13 +51,18 @@ def land_bronze(
 
 
 def write_layer(tables: Mapping[str, DataFrame], destination: str, fmt: str = "parquet") -> None:
-    """Write each table under destination/<name>, replacing what is there."""
-    for name, df in tables.items():
+    """Write each table under destination/<name>, replacing what is there. The writes run side by side."""
+
+    def write(name: str) -> None:
         path = f"{destination.rstrip('/')}/{name}"
         if fmt == "csv":
-            write_csv(df, path)
+            write_csv(tables[name], path)
         else:
-            df.write.mode("overwrite").format(fmt).save(path)
+            tables[name].write.mode("overwrite").format(fmt).save(path)
+
+    if tables:
+        with ThreadPoolExecutor(len(tables)) as pool:
+            list(pool.map(write, tables))
 
 
 def read_layer(spark: SparkSession, destination: str, names: Sequence[str]) -> dict[str, DataFrame]:
