@@ -31,8 +31,11 @@ FURNITURE = frozenset(
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar"
-    " footer cookie cookies consent gdpr notice notices popup modal newsletter subscribe subscription signup share sharing social related recommended".split()
+    " footer cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe subscription signup login share sharing social related"
+    " recommended teaser teasers widget widgets pager pagination".split()
 )
+HEADS = frozenset("header masthead topbar".split())
+STORY = frozenset("article post entry content story".split())
 TALK = frozenset("comment comments respond replies discussion disqus".split())
 # An element that starts in one of these ends it.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -138,13 +141,15 @@ def names(attributes: str) -> tuple[set[str], bool]:
 def furniture(page: Page, chars: list[int]) -> list[bool]:
     """For each element whether it or one around it is no content. `chars` counts the text below each element.
 
-    An element that holds the article, or by its name only and most of the text, is content for all its name.
+    A header is furniture outside the article only. Names count for nothing on an element that holds the
+    article, nor, where no element says that it is the article, on one that holds most of the text.
     """
     n = len(page.tag)
     holds = [False] * n
     within = [False] * n
     found = [names(a) for a in page.attributes]
     main = [t in ("article", "main") or "role=main" in found[i][0] for i, t in enumerate(page.tag)]
+    any_main = any(main)
     for i in range(n - 1, 0, -1):
         holds[page.parent[i]] |= holds[i] or main[i]
     out = [False] * n
@@ -155,7 +160,8 @@ def furniture(page: Page, chars: list[int]) -> list[bool]:
         bad = page.tag[i] in FURNITURE or hidden or (page.tag[i] == "header" and not within[i])
         if not bad and words and not holds[i] and page.tag[i] != "body" and not main[i]:
             bad = bool(words & TALK) or any(f"role={r}" in words for r in ROLES)
-            bad = bad or bool(words & NAMES) and 2 * chars[i] <= chars[0]
+            bad = bad or bool(words & HEADS) and not within[i] and not words & STORY
+            bad = bad or bool(words & NAMES) and (any_main or 2 * chars[i] <= chars[0])
         out[i] = out[up] or bad
     return out
 

@@ -25,6 +25,14 @@ def test_density_finds_the_content_without_an_article_element():
     assert main_text(page).split("\n\n") == ["Title", LONG.strip(), "Two", LONG.strip()]
 
 
+def test_names_of_furniture():
+    story = "<article><div class=post-header><h1>Head</h1></div><p>Short text.</p>{}</article>"
+    for name in ("ad", "widget", "newsletter-box", "cookie notice", "user-comments", "related-posts"):
+        assert main_text("<body>" + story.format(f'<div class="{name}">{LONG}</div>')) == "Head\n\nShort text."
+    assert main_text(f"<div class=header><h1>Site</h1></div><div class=content-with-sidebar><h1>Head</h1><p>{LONG}</p></div>").startswith("Head")
+    assert main_text(f"<div class='page header'><article><p>{LONG}</p></article></div>") == LONG.strip()
+
+
 def test_broken_markup():
     assert main_text("<p>a<p>b") == "a\n\nb"
     assert main_text("<article><p>a &am") == "a &am"
