@@ -60,8 +60,8 @@ class ChunkCache:
     not depend on it.
     """
 
-    SLOTS = 1 << 22
-    ENTRIES = 1 << 21
+    SLOTS = 1 << 21
+    ENTRIES = 1 << 20
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -83,7 +83,7 @@ class ChunkCache:
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Entry of each hash, -1 where there is none."""
         found = np.full(len(hashes), -1, np.int32)
-        slot = (hashes >> np.uint64(42)).astype(np.int64)
+        slot = (hashes >> np.uint64(43)).astype(np.int64)
         left = np.arange(len(hashes))
         while len(left):
             entry = self.entry[slot]
@@ -116,7 +116,7 @@ class ChunkCache:
             self.begin[self.n : self.n + n] = self.used + np.cumsum(sizes) - sizes
             self.size[self.n : self.n + n] = sizes
             self.used += len(ids)
-            left, slot = np.arange(n), (hashes[at : at + n] >> np.uint64(42)).astype(np.int64)
+            left, slot = np.arange(n), (hashes[at : at + n] >> np.uint64(43)).astype(np.int64)
             while len(left):
                 # Of several that want a free slot one gets it; the others go on to the next.
                 free = np.flatnonzero(self.entry[slot] < 0)

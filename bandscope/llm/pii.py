@@ -81,7 +81,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 # -- conditional random field
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=1 << 14)
 def token_features(token: str) -> tuple[str, ...]:
     """Shape features of one token; only its first 64 characters make the shape."""
     head = token[:64]

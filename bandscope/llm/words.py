@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 BLOCK = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
