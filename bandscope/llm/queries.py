@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bandscope.llm import decontam, embed, fixity, html, near, packing, pii, rollup, toxicity, urls
-from bandscope.session import scratch_path
+from bandscope.session import scratch_path, stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +42,7 @@ def warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length(copy).cast("long").alias("copy_length"),
         F.sha2(copy, 256).alias("copy_digest"),
     )
-    laid = fixity.laid_out(records, ("page_id", "digest"))
+    laid = stored(fixity.laid_out(records, ("page_id", "digest")), "replicas")
     replica = laid.filter("page_id % 50 <> 8").select(
         "record_id", "offset", F.col("copy_length").alias("length"), F.col("copy_digest").alias("digest")
     )
