@@ -222,7 +222,7 @@ def find_matches(
                         [*kept, "n_words", "hits", "matches"],
                     )
 
-        out = out.mapInArrow(search, schema)
+        out = out.mapInArrow(W.tidy(search), schema)
     return out
 
 

@@ -93,7 +93,7 @@ def coded(rows: DataFrame, bits: int, trees: int) -> DataFrame:
                     ["doc_id", "cls", "vector", "code", "keys"],
                 )
 
-    return rows.mapInArrow(code, "doc_id long, cls long, vector binary, code binary, keys array<long>")
+    return rows.mapInArrow(W.tidy(code), "doc_id long, cls long, vector binary, code binary, keys array<long>")
 
 
 def possible(codes: list[bytes], vectors: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +181,7 @@ def near_embeddings(
             if len(left):
                 yield link_counts(cls, copies, left, right)
 
-    links = blocks.select("component", "b1", "b2", "b", "cls", "copies", "vector", "code").mapInArrow(compare, "cls long, links long, root long")
+    links = blocks.select("component", "b1", "b2", "b", "cls", "copies", "vector", "code").mapInArrow(W.tidy(compare), "cls long, links long, root long")
     many = joined_classes(made.select("doc_id", "cls"), stored(links, "links"))
     found = F.col("group_size").isNotNull()
     component = F.when(found, F.col("class_id")).otherwise(F.col("doc_id"))

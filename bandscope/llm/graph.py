@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bandscope.llm import words as W
 from bandscope.session import broadcast_if_small, stored
 
 
@@ -163,7 +164,7 @@ def bucket_edges(keyed: DataFrame, payload: DataFrame, block: int, judge: Judge)
                 moved = np.flatnonzero(label != np.arange(len(cls)))
                 yield pa.RecordBatch.from_arrays([pa.array(cls[moved]), pa.array(cls[label[moved]])], ["u", "v"])
 
-    return blocks.select("key", "b1", "b2", "b", "cls", *columns).mapInArrow(connect, "u long, v long")
+    return blocks.select("key", "b1", "b2", "b", "cls", *columns).mapInArrow(W.tidy(connect), "u long, v long")
 
 
 def link_counts(cls: np.ndarray, copies: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:

@@ -254,4 +254,4 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text", n_chars: s
                     [*columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*kept, text, n_chars]
                 )
 
-    return pages.select(*kept, F.col(html).alias("_html")).mapInArrow(read, schema)
+    return pages.select(*kept, F.col(html).alias("_html")).mapInArrow(W.tidy(read), schema)

@@ -109,7 +109,7 @@ def signed(docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFra
                 )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    return rows.mapInArrow(sign, "doc_id long, th long, cls long, n long, keys array<long>, sig binary")
+    return rows.mapInArrow(W.tidy(sign), "doc_id long, th long, cls long, n long, keys array<long>, sig binary")
 
 
 def candidate_edges(sig: DataFrame, threshold: float) -> DataFrame:
@@ -199,7 +199,7 @@ def verified(docs: DataFrame, sig: DataFrame, groups: DataFrame, threshold: floa
             for left, right in linked_rows(table, "component", linked):
                 yield link_counts(cls, copies, left, right)
 
-    return blocks.select("component", "b1", "b2", "b", "cls", "copies", "text").mapInArrow(compare, "cls long, links long, root long")
+    return blocks.select("component", "b1", "b2", "b", "cls", "copies", "text").mapInArrow(W.tidy(compare), "cls long, links long, root long")
 
 
 def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -190,8 +190,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: st
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    return rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long"
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(W.tidy(cut), "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 
 

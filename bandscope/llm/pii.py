@@ -326,7 +326,7 @@ def find_pii(docs: DataFrame, rows: list[str] = LABELLED, text: str = "text", re
                     columns[place] = pa.array(changed, columns[place].type)
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, part.schema.field("spans").type)], [*kept, "spans"])
 
-    return out.mapInArrow(search, out.schema)
+    return out.mapInArrow(W.tidy(search), out.schema)
 
 
 def redact(docs: DataFrame, rows: list[str] = LABELLED, text: str = "text") -> DataFrame:

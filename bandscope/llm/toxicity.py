@@ -128,7 +128,7 @@ def train(examples: DataFrame, bits: int = BITS, how: Ftrl = Ftrl()) -> Model:
         for batch in batches:
             for part in W.slices(batch, "text"):
                 _, _, hashes, first = W.words(W.column(part.column("text")))
-                rows += [features(hashes[a:b], bits) for a, b in zip(first[:-1], first[1:], strict=True)]
+                rows += [features(hashes[a:b], bits).astype(np.int32) for a, b in zip(first[:-1], first[1:], strict=True)]
                 labels += part.column("label").to_pylist()
                 order += part.column("order").to_pylist()
         turn = np.lexsort((np.array([len(r) for r in rows], np.int64), np.array(order, np.int64)))
@@ -142,7 +142,7 @@ def train(examples: DataFrame, bits: int = BITS, how: Ftrl = Ftrl()) -> Model:
             }
         )
 
-    found = both.coalesce(1).mapInArrow(fitted, "slot long, weight double").collect()
+    found = both.coalesce(1).mapInArrow(W.tidy(fitted), "slot long, weight double").collect()
     table = sorted((r.slot, r.weight) for r in found)
     return Model(
         np.array([s for s, _ in table[1:]], np.int64),
@@ -184,7 +184,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
                 value = pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))
                 yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(c)) for c in kept] + [value], [*kept, out])
 
-    return docs.select(*kept, *([] if text in kept else [text])).mapInArrow(scored, schema)
+    return docs.select(*kept, *([] if text in kept else [text])).mapInArrow(W.tidy(scored), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -8,7 +8,8 @@ slice: `slices` cuts a batch by bytes, and `spans` works through a slice in shor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -72,6 +73,25 @@ def column(array: pa.Array) -> Column:
     return Column(data[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
+Reader = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def tidy(read: Reader) -> Reader:
+    """`read`, giving back what memory it freed when it ends: Spark keeps its Python workers for later stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from read(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            # Of glibc; other C libraries do without.
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, name: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of whole rows, each of about `limit` bytes of text or a single row."""
     offsets = column(batch.column(name)).offsets
