@@ -180,10 +180,11 @@ def link_counts(cls: np.ndarray, copies: np.ndarray, left: np.ndarray, right: np
 
 
 def joined_classes(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """(cls, class_id, group_size, n_links) of the classes with more than one row, stored.
+    """(cls, component, class_id, group_size, n_links) of the classes with more than one row, stored.
 
     `rows` has a row (doc_id, cls) for each row that can be linked, `found` those of `link_counts`. The
-    class_id is the smallest id reachable, group_size the rows reachable, n_links the other rows linked.
+    component is the same for all classes of a group and for no other; class_id is the smallest id
+    reachable, group_size the rows reachable, n_links the other rows linked.
     """
     joined = components(found.select(F.col("cls").alias("u"), F.col("root").alias("v")))
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
@@ -192,5 +193,5 @@ def joined_classes(rows: DataFrame, found: DataFrame) -> DataFrame:
     known = stored(known.withColumn("component", F.coalesce("component", "cls")), "known")
     smallest = known.groupBy("component").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("group_size"))
     n_links = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
-    many = known.join(smallest, "component").filter("group_size > 1").select("cls", "class_id", "group_size", n_links)
+    many = known.join(smallest, "component").filter("group_size > 1").select("cls", "component", "class_id", "group_size", n_links)
     return stored(many, "many")

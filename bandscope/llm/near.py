@@ -202,15 +202,8 @@ def verified(docs: DataFrame, sig: DataFrame, groups: DataFrame, threshold: floa
     return blocks.select("component", "b1", "b2", "b", "cls", "copies", "text").mapInArrow(W.tidy(compare), "cls long, links long, root long")
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of `docs`: doc_id, th (xxhash64 of the text), class_id, n_links, group_size.
-
-    Two rows are linked if their texts' shingle sets have a Jaccard similarity of `threshold` or more.
-    n_links counts the other rows linked directly; class_id is the smallest doc_id among the rows reachable
-    by links, group_size their number. Null texts and texts without words have no shingles: they are
-    linked with nothing, and their class_id is their own doc_id. Rows with a null doc_id take part; their
-    class_id is null only if no reachable row has an id. Repeated rows are copies of each other.
-    """
+def grouped_rows(docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFrame:
+    """The columns of `jaccard_join` and `component`: one value for each group, null for rows linked with nothing."""
     sig = stored(signed(docs, threshold, doc_id, text), "signed")
     groups = stored(components(candidate_edges(sig, threshold)), "groups")
     found = stored(verified(docs, sig, groups, threshold, doc_id, text), "links")
@@ -222,22 +215,34 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "d
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        "component",
     )
 
 
+def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of `docs`: doc_id, th (xxhash64 of the text), class_id, n_links, group_size.
+
+    Two rows are linked if their texts' shingle sets have a Jaccard similarity of `threshold` or more.
+    n_links counts the other rows linked directly; class_id is the smallest doc_id among the rows reachable
+    by links, group_size their number. Null texts and texts without words have no shingles: they are
+    linked with nothing, and their class_id is their own doc_id. Rows with a null doc_id take part; their
+    class_id is null only if no reachable row has an id. Repeated rows are copies of each other.
+    """
+    return grouped_rows(docs, threshold, doc_id, text).drop("component")
+
+
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each group stays, that with the smallest doc_id, with the columns of `docs`.
 
     Texts without words are no duplicates of anything. Rows alike in id and text count as one row; where a
-    group's smallest id has several texts, the one with the smallest hash stays.
+    group's smallest id has several texts, or no row of it has an id, the one with the smallest hash stays.
     """
-    found = stored(jaccard_join(docs, threshold), "joined").filter("group_size > 1")
-    first = found.groupBy("class_id").agg(F.min(F.when(F.col("doc_id").eqNullSafe(F.col("class_id")), F.struct("th"))).alias("th"))
-    marked = found.join(
-        broadcast_if_small(stored(first.select(F.col("class_id").alias("c"), F.col("th.th").alias("t")), "kept")),
-        F.col("class_id").eqNullSafe(F.col("c")),
-    )
-    stays = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("th") == F.col("t"))
+    found = stored(grouped_rows(docs, threshold, "doc_id", "text"), "joined").filter("group_size > 1")
+    # Ids may be shared by groups, or missing: a group is told by its component.
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")
+    first = found.groupBy("component").agg(F.min(order).alias("first"))
+    marked = found.join(broadcast_if_small(stored(first, "kept")), "component")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))
     per_row = stored(
         marked.groupBy("doc_id", "th").agg(F.max(stays).alias("stays"), F.count("*").alias("times")), "marked"
     )

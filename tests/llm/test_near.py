@@ -81,6 +81,17 @@ def test_one_id_with_two_texts(spark):
     assert sorted(r.text for r in kept) == ["a b c d e f g", "h i j k l m n"]
 
 
+def test_one_row_of_each_group_stays_where_groups_share_an_id_or_have_none(spark):
+    texts = [" ".join(f"{g}{i}" for i in range(40)) for g in "abcd"]
+    for ids in ([None] * 8, [1, 2, 1, 3, 1, 4, 5, None]):
+        # Each text with a near copy; the ids are those of text, copy, text, copy and so on.
+        rows = [(ids[2 * g + k], t + " more" * k) for g, t in enumerate(texts) for k in (0, 1)]
+        kept = near.drop_near_duplicates(frame(spark, rows)).collect()
+        assert sorted(r.text[0] for r in kept) == ["a", "b", "c", "d"]
+        if ids[0]:
+            assert sorted((r.doc_id, r.text) for r in kept) == sorted(rows[::2])
+
+
 def test_prefixes_are_shortened_until_the_recall_is_met():
     assert near.prefix_depth(0.8, trees=24, deepest=6, recall=0.9999) == 5
     assert near.prefix_depth(0.8, trees=24, deepest=3, recall=0.5) == 3
