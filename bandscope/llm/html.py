@@ -42,8 +42,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 IN_PARAGRAPH = INLINE | {"br", "button", "input", "select", "option", "textarea", "svg", "canvas", "audio", "video", "object", "iframe", "script", "style", "noscript", "template", "embed", "map", "area", "param", "source", "track", "link", "meta", "ruby", "rt", "rp", "output", "progress", "meter", "picture"}
 
-TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# A quote opens a value only where the value begins; one that is never closed opens none, so that the tag ends at its next >.
+TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+)*+)>""")
+ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)(?:"|\Z)|'([^']*+)(?:'|\Z)|([^\s"'>][^\s>]*+)))?+""")
 SPLIT = re.compile(r"[^a-z0-9]+")
 
 

@@ -44,6 +44,14 @@ def test_broken_markup():
     assert [main_text(x) for x in ("", "<", "<nav>a</nav>", "<html></html>", "<!---->", "</p>")] == ["", "<", "", "", "", ""]
 
 
+def test_quotes_inside_tags():
+    for tag in ("<a title=it's>", '<div class="x"">', "<p title=5'hidden>", "<p title='a>b' x='>'>", '<p title="open hidden>', '<p title = "a>b"c=\'>\'">'):
+        assert main_text(f"<article><p>before</p>{tag}after</article>").split() == ["before", "after"], tag
+    assert main_text("<article><p>before <a title=it's>link</a> it's after") == "before link it's after"
+    # The page ends inside a tag.
+    assert main_text("<article><p>before<img alt='a > b' src=") == "before"
+
+
 def test_long_pages_take_time_in_proportion():
     for unit in ("<", "<a", "<p>x", "<b>", "&amp;", "</p>", "<!--", "<a href='", "x "):
         main_text("<article>" + unit * 20_000)
