@@ -3,8 +3,9 @@
 A page becomes a tree. A node's density is its characters for each tag below it, scaled by a logarithm
 that falls with the share of characters and tags that are links, its base taken from the body. The densities of a node's children are summed, and the node with the largest sum is the
 core of the content. The lowest density on the path from the core up to the body is the threshold that
-the other branches along that path must reach to belong to the content; inside an article or main element
-the whole element is the content. Elements that are furniture by tag, role or name are cut beforehand.
+the other branches along that path must reach to belong to the content; headlines need not reach it. Where
+the path passes article or main elements, all of the innermost belongs to the content too. Elements that
+are furniture by tag, role or name are cut beforehand.
 """
 
 from __future__ import annotations
@@ -204,14 +205,10 @@ def content(page: Page) -> tuple[list[bool], list[bool]]:
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
     whole = [False] * n
-    steps: set[int] = set()
+    steps = set(path[: path.index(body) + 1] if body in path else path)
+    threshold = min(density[i] for i in steps)
     around = [i for i in path if page.tag[i] in ("article", "main") or "role=main" in names(page.attributes[i])[0]]
-    if around:
-        whole[around[0]] = True
-    else:
-        steps = set(path[: path.index(body) + 1] if body in path else path)
-        threshold = min(density[i] for i in steps)
-        whole[core] = True
+    whole[around[0] if around else core] = True
     for i in range(1, n):
         up = page.parent[i]
         if whole[up]:

@@ -25,6 +25,17 @@ def test_density_finds_the_content_without_an_article_element():
     assert main_text(page).split("\n\n") == ["Title", LONG.strip(), "Two", LONG.strip()]
 
 
+def test_content_beside_the_article_element():
+    lead = "The lead of this story stands before its article and has some length. " * 3
+    links = "".join(f"<li><a href=/{i}>link number {i}</a></li>" for i in range(30))
+    story = f"<h1>Title</h1><p>{lead}</p><article><p>{LONG}</p><p>Two</p><p>{LONG}</p></article><ul>{links}</ul>"
+    want = ["Title", lead.strip(), LONG.strip(), "Two", LONG.strip()]
+    for page in (f"<main>{story}</main>", f"<body><div>{story}</div></body>", f"<body><div role=main><div>{story}</div></div></body>"):
+        assert main_text(page).split("\n\n") == want, page
+    two = f"<body><article><p>{LONG}</p><p>{LONG}</p></article><article><p>{lead}</p><p>{lead}</p></article></body>"
+    assert main_text(two).split("\n\n") == [LONG.strip()] * 2 + [lead.strip()] * 2
+
+
 def test_names_of_furniture():
     story = "<article><div class=post-header><h1>Head</h1></div><p>Short text.</p>{}</article>"
     for name in ("ad", "widget", "newsletter-box", "cookie notice", "user-comments", "related-posts"):
