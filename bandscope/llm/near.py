@@ -2,9 +2,10 @@
 
 A text's shingles are the distinct runs of `WORDS` lower-cased words; a text of fewer words, but not none,
 has one shingle of all its words. Texts with equal sets form a class, and only classes are compared.
-Each of `TREES` trees keys a class by a path of min-hashes. The paths are cut to the longest prefix at
-which the chance to miss a pair of just the threshold similarity is below the target, so the tries are
-matched as deep as the wanted recall allows. Members of one bucket whose signatures agree well enough are
+Each of `TREES` trees keys a class by a path of min-hashes, cut to the longest prefix at which the chance to
+miss a pair of just the threshold similarity is below the target. That depth is the same for all classes, and
+pairs that agree on a longer prefix agree on it too, so one key a tree stands for the trie: this is banding.
+Where one min-hash a tree misses the target, there are more trees. Members of one bucket whose signatures agree well enough are
 joined into candidate groups; inside a group every pair of classes is compared exactly, once.
 
 Buckets and groups of any size are cut into blocks by hash and compared block by block; pairs are never
@@ -65,6 +66,16 @@ def prefix_depth(threshold: float, trees: int = TREES, deepest: int = DEEPEST, r
     return depth
 
 
+def forest(threshold: float) -> tuple[int, int]:
+    """Trees and depth with which pairs of the threshold similarity are met with at least `RECALL`."""
+    if not 0 < threshold <= 1:
+        raise ValueError(f"threshold {threshold} is not above 0 and at most 1")
+    trees = TREES
+    while 1 - (1 - threshold) ** trees < RECALL:
+        trees += 1
+    return trees, prefix_depth(threshold, trees)
+
+
 def signatures(sets: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
     """n min-hashes for each non-empty set."""
     some = bounds[:-1][np.diff(bounds) > 0]
@@ -79,22 +90,23 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
 
 def signed(docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFrame:
     """For every row doc_id, th (hash of the text), cls, n (shingles), keys (one a tree) and sig (one byte a min-hash)."""
-    depth = prefix_depth(threshold)
+    trees, depth = forest(threshold)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = W.mix(np.arange(1, TREES + 1, dtype=np.uint64))
+        salt = W.mix(np.arange(1, trees + 1, dtype=np.uint64))
         for batch in batches:
             for part in W.slices(batch, "text"):
                 _, _, hashes, first = W.words(W.column(part.column("text")))
                 sets, bounds = shingles(hashes, first, WORDS)
                 some = np.diff(bounds) > 0
-                made = signatures(sets, bounds, TREES * DEEPEST)
-                keys = np.zeros((len(made), TREES), np.uint64)
+                # More trees than usual are one min-hash deep.
+                made = signatures(sets, bounds, max(trees, TREES * DEEPEST))
+                keys = np.zeros((len(made), trees), np.uint64)
                 for d in range(depth):
-                    keys = W.mix(keys * W.BASE + made[:, d::DEEPEST])
+                    keys = W.mix(keys * W.BASE + (made[:, d : TREES * DEEPEST : DEEPEST] if trees == TREES else made[:, :trees]))
                 keys = np.ascontiguousarray(W.mix(keys ^ salt)).view(np.int64)
-                sizes = some.astype(np.int32) * TREES
-                sig = made.astype(np.uint8)
+                sizes = some.astype(np.int32) * trees
+                sig = made[:, : TREES * DEEPEST].astype(np.uint8)
                 own = iter(sig)
                 yield pa.RecordBatch.from_arrays(
                     [

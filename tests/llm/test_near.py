@@ -98,6 +98,25 @@ def test_prefixes_are_shortened_until_the_recall_is_met():
     assert near.prefix_depth(0.1, trees=2, recall=0.9999) == 1
 
 
+def test_low_thresholds_get_trees_until_the_recall_is_met():
+    assert near.forest(near.THRESHOLD) == (near.TREES, 5)
+    for threshold in (0.02, 0.1, 0.2, 0.3, 0.5, 1.0):
+        trees, depth = near.forest(threshold)
+        assert 1 - (1 - threshold**depth) ** trees >= near.RECALL
+        assert trees == near.TREES or depth == 1
+    for threshold in (0, -0.5, 1.5):
+        with pytest.raises(ValueError):
+            near.forest(threshold)
+
+
+def test_all_links_at_a_low_threshold(spark):
+    rows = []
+    for i in range(40):
+        common = [f"c{i}_{k}" for k in range(10)]
+        rows += [(2 * i + side, " ".join(common + [f"{side}_{i}_{k}" for k in range(9)])) for side in (0, 1)]
+    assert found(frame(spark, rows), threshold=0.2) == expected(rows, 0.2)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     rng = random.Random(seed)
