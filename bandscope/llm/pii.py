@@ -1,8 +1,8 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field that adds spans.
 
-The field labels the tokens (runs without white space) around digits and at signs. Its sequences are the
-longest runs of tokens that lie within `REACH` tokens of one with an ASCII digit or an at sign; tokens
-elsewhere are outside by definition. Features are shapes of the token and its neighbours and a few cue
+The field labels the tokens (runs without white space) around digits, at signs and cue words. Its sequences
+are the longest runs of tokens that lie within `REACH` tokens of one that is a cue word or has a digit of any
+script or an at sign; tokens elsewhere are outside by definition. Features are shapes of the token and its neighbours and a few cue
 words. It is trained on a small labelled table (`labelled.LABELLED` unless another is given) and decoded by
 Viterbi in numpy, many sequences at a time. Every document is handled alone: nothing is shuffled.
 """
@@ -35,8 +35,10 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TOKEN = re.compile(r"[^ \t\n\r\f\v]+")
-MARK = re.compile(r"[0-9@]")
+MARK = re.compile(r"[\d@]")
 DIGIT = re.compile(r"[0-9]")
+NUMERAL = re.compile(r"\d")
+EDGES = ".,;:!?()[]<>\"'"
 
 
 def luhn(digits: str) -> bool:
@@ -81,20 +83,25 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 # -- conditional random field
 
 
-@lru_cache(maxsize=1 << 14)
 def token_features(token: str) -> tuple[str, ...]:
-    """Shape features of one token; only its first 64 characters make the shape."""
-    head = token[:64]
-    shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"[0-9]+", lambda m: f"<{min(len(m[0]), 5) if len(m[0]) < 14 else 16}>", head))
-    core = head.lower().strip(".,;:!?()[]<>\"'")
+    """Shape features of one token, all of it; runs of letters and of digits are shortened. Long tokens are not kept."""
+    return short_token_features(token) if len(token) <= 64 else whole_token_features(token)
+
+
+def whole_token_features(token: str) -> tuple[str, ...]:
+    shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", lambda m: f"<{min(len(m[0]), 5) if len(m[0]) < 14 else 16}>", token))
+    core = token.lower().strip(EDGES)
     loose = re.sub(r"<\d+>", "9", shape.strip(".,;:!?"))
-    digits = len(DIGIT.findall(head))
-    out = [f"s={shape.strip('.,;:!?')}", f"l={loose}", f"n={min(digits, 5) if digits < 14 else 16}", f"c={'@' in head}{head[:1] in '+('}"]
+    digits = len(NUMERAL.findall(token))
+    out = [f"s={shape.strip('.,;:!?')}", f"l={loose}", f"n={min(digits, 5) if digits < 14 else 16}", f"c={'@' in token}{token[:1] in '+('}"]
     if core in CUES:
         out.append(f"w={core}")
     return tuple(out)
 
 
+short_token_features = lru_cache(maxsize=1 << 14)(whole_token_features)
+
+
 def sequence_features(tokens: list[str]) -> list[list[str]]:
     own = [token_features(t) for t in tokens]
     edge = ("edge",)
@@ -233,7 +240,7 @@ def viterbi(field: Field, scores: list[np.ndarray], at_once: int = 256) -> list[
 def sequences(text: str) -> list[list[tuple[int, int]]]:
     """Token spans of each sequence of a text."""
     spans = [m.span() for m in TOKEN.finditer(text)]
-    marked = np.array([MARK.search(text, a, b) is not None for a, b in spans], bool)
+    marked = np.array([MARK.search(text, a, b) is not None or text[a:b].lower().strip(EDGES) in CUES for a, b in spans], bool)
     near = np.zeros(len(spans) + 1, int)
     for i in np.flatnonzero(marked):
         near[max(0, i - REACH)] += 1
@@ -279,8 +286,6 @@ def find_batch(texts: list[str], field: Field) -> list[list[tuple[int, int, str,
     return out
 
 
-HAS_MARK = np.zeros(256, bool)
-HAS_MARK[[*range(0x30, 0x3A), 0x40]] = True
 SPAN = "array<struct<kind:string,start:long,end:long,base:boolean>>"
 
 
@@ -311,8 +316,7 @@ def find_pii(docs: DataFrame, rows: list[str] = LABELLED, text: str = "text", re
         for batch in batches:
             for part in W.slices(batch, text):
                 col = W.column(part.column(text))
-                marks = np.append(0, np.cumsum(HAS_MARK[col.data], dtype=np.int64))
-                some = np.flatnonzero(np.diff(marks[col.offsets]))
+                some = np.flatnonzero(np.diff(col.offsets))
                 texts = [col.text(i) for i in some]
                 found = find_batch(texts, field)
                 spans: list[list[dict]] = [[] for _ in range(part.num_rows)]

@@ -83,6 +83,23 @@ def test_spans_beyond_the_patterns_and_clean_text():
     assert found[2] == [] and found[3] == []
 
 
+def test_cue_words_and_digits_of_any_script_open_sequences(spark):
+    spelled = [f"{cue} [[email {name} at {host} dot {end}]] for more" for cue, name, host, end in (("write", "jane", "example", "com"), ("ask", "rose", "mailer", "org"), ("mail", "tom", "post", "net"))]
+    field = pii.train([*LABELLED, *spelled, "they met at noon near the river", "put a dot here and go on"])
+    text = "Please ask nina at letters dot org for more."
+    assert [(text[a:b], k, p) for a, b, k, p in pii.find_batch([text], field)[0]] == [("nina at letters dot org", "email", False)]
+    arabic = "call (555) 010-4411 today".translate({0x30 + i: 0x660 + i for i in range(10)})
+    docs = spark.createDataFrame([(1, arabic), (2, "plain words only"), (3, None)], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in pii.redact(docs).collect()} == {1: "call <PHONE> today", 2: "plain words only", 3: None}
+
+
+def test_features_see_the_whole_token():
+    long = "\u6f22" * 80
+    assert pii.token_features(f"{long}12@x")[2:4] == ("n=2", "c=TrueFalse")
+    assert pii.token_features(f"{long}12@x")[0] == "s=a<2>@a"
+    assert pii.token_features("1" * 70)[0] == "s=<16>"
+
+
 def test_held_out_rows():
     """Made rows of the same kinds: most spans found, clean rows left alone."""
     rng = random.Random(9)
