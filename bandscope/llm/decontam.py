@@ -8,7 +8,8 @@ Suffixes are ordered by their first `window` words or more, all that the search
 stay where they are: there is no shuffle, whatever passages they share. Words are compared by 64-bit
 hashes.
 
-The test items are broadcast in blocks of bounded size, one pass over the documents for each block.
+The test items are read and broadcast in blocks of bounded size, one pass over the documents for each block.
+What a pass found is written before the next block is broadcast, and the copy before it is deleted.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
 from bandscope.llm.columns import put_back, set_aside
+from bandscope.session import release, scratch_path
 
 WINDOW = 10
 # Text of the items in one broadcast block, in bytes.
@@ -186,7 +188,9 @@ def find_matches(
     base = out.schema
     out = out.select("*", F.expr("0L AS n_words"), F.expr("CAST(array() AS array<struct<start:long,end:long>>) AS hits"), F.expr("CAST(array() AS array<struct<item_id:string,item_word:long,doc_word:long,n_words:long>>) AS matches"))
     kept = base.fieldNames()
-    for rows in [*blocks(items, item_id, item_text, block)] or [[]]:
+    left = blocks(items, item_id, item_text, block)
+    rows, written = next(left, []), None
+    while rows is not None:
         shared = spark.sparkContext.broadcast(prepare(rows, window))
         schema = out.schema
 
@@ -223,6 +227,15 @@ def find_matches(
                     )
 
         out = out.mapInArrow(W.tidy(search), schema)
+        rows = next(left, None)
+        if rows is not None:
+            path = scratch_path(spark, "matched")
+            out.write.parquet(path)
+            out = spark.read.schema(schema).parquet(path)
+            shared.destroy()
+            if written:
+                release(spark, written)
+            written = path
     return out
 
 

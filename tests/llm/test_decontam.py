@@ -52,6 +52,25 @@ def test_matches_agree_with_brute_force(spark, rng, window, block):
             assert words_of(docs[doc][1])[m.doc_word : m.doc_word + m.n_words] == item[m.item_word : m.item_word + m.n_words]
 
 
+def test_one_block_of_items_at_a_time(spark, monkeypatch):
+    passages = [" ".join(f"p{k}w{i}" for i in range(10)) for k in range(3)]
+    docs = [(k, f"x {p} y") for k, p in enumerate(passages)] + [(9, " ".join(passages))]
+    items = [(f"i{k}", p) for k, p in enumerate(passages)]
+    events, blocks, write = [], decontam.blocks, decontam.scratch_path
+
+    def read(*args):
+        for rows in blocks(*args):
+            events.append(rows[0][0])
+            yield rows
+
+    monkeypatch.setattr(decontam, "blocks", read)
+    monkeypatch.setattr(decontam, "scratch_path", lambda *a: events.append("write") or write(*a))
+    found = run(spark, docs, items, 10, block=1)
+    assert events == ["i0", "i1", "write", "i2", "write"]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {r.doc_id: [m.item_id for m in r.matches] for r in found.collect()} == {0: ["i0"], 1: ["i1"], 2: ["i2"], 9: ["i0", "i1", "i2"]}
+
+
 def test_digest_and_removal(spark):
     passage = "one two three four five six seven eight nine ten"
     docs = [(1, f"x {passage.upper()}, y"), (2, "one two three four five six seven eight nine"), (3, None), (4, ""), (4, f"{passage} {passage}")]
