@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from bandscope.llm import decontam, embed, fixity, html, near, packing, pii, rollup, toxicity, urls
+from bandscope.llm import bpe, decontam, embed, fim, fixity, html, near, packing, pii, rollup, toxicity, urls, whiten
 from bandscope.session import scratch_path, stored
 
 
@@ -98,6 +98,18 @@ def token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.totals(spark, state)
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), packing.tokenizer_path("byte_bpe_50k.json"))
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(fim.pieces(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": html_extraction,
     "op2_embedding_near_dedup": embedding_near_dedup,
@@ -109,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity_scores,
     "op9_ngram_jaccard": ngram_jaccard,
     "op10_token_rollup": token_rollup,
+    "op11_embedding_whitening": embedding_whitening,
+    "op12_bpe_round_trip": bpe_round_trip,
+    "op13_fill_in_middle": fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 

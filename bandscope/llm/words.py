@@ -64,7 +64,7 @@ class Column:
 
 
 def column(array: pa.Array) -> Column:
-    array = array.cast(pa.large_string()).fill_null("")
+    array = array.cast(pa.large_binary()).fill_null(b"")
     if isinstance(array, pa.ChunkedArray):
         array = array.combine_chunks()
     _, offsets, data = array.buffers()

@@ -17,9 +17,9 @@ from bandscope.session import scratch_scope
 WITH_SQL = sorted(queries.oracle_sql())
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
     assert set(queries.QUERIES) <= names and set(queries.oracle_sql()) <= set(contract.oracle_sql())
 
 

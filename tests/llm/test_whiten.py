@@ -1,0 +1,127 @@
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from bandscope.llm import queries, whiten
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def check_directions(r, count=8):
+    values, vectors, total = whiten.directions(r, count)
+    want = np.linalg.svd(r, compute_uv=False) ** 2
+    k = len(values)
+    assert k == min(count, int((want > (len(r) * 1e-15) ** 2 * want[0]).sum())) if want[0] else k == 0
+    if k:
+        assert np.abs(values - want[:k]).max() <= 1e-13 * want[0] and abs(total - want.sum()) <= 1e-13 * want.sum()
+        assert np.abs(vectors.T @ vectors - np.eye(k)).max() <= 1e-11
+        assert np.abs(r.T @ (r @ vectors) - vectors * values).max() <= 1e-12 * want[0]
+
+
+@pytest.mark.parametrize("d", [1, 2, 3, 17, 64])
+def test_directions_of_random_triangles(d):
+    rng = np.random.default_rng(d)
+    check_directions(np.linalg.qr(rng.standard_normal((3 * d, d)), "r"))
+    check_directions(np.linalg.qr(rng.standard_normal((3 * d, d)) * np.logspace(0, -12, d), "r"))
+    check_directions(np.linalg.qr(rng.standard_normal((3 * d, d)) * np.logspace(-12, 0, d), "r"))
+
+
+def test_directions_of_equal_and_missing_values():
+    check_directions(np.eye(16))
+    check_directions(np.zeros((4, 4)))
+    check_directions(np.diag([3.0, 3, 3, 2, 2, 1, 0, 0, 0]))
+    wilkinson = np.diag(np.abs(np.arange(21) - 10) + 3.0) + np.diag(np.ones(20), 1) + np.diag(np.ones(20), -1)
+    check_directions(np.linalg.cholesky(wilkinson).T)
+    rng = np.random.default_rng(3)
+    turn, other = (np.linalg.qr(rng.standard_normal((40, 40)))[0] for _ in range(2))
+    check_directions(np.linalg.qr((turn * np.array([5.0] * 6 + [3.0] * 30 + [0.0] * 4)) @ other, "r"))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.integers(1, 9), st.integers(0, 10**6))
+def test_directions_of_small_whole_numbers(d, seed):
+    check_directions(np.linalg.qr(np.random.default_rng(seed).integers(-2, 3, (d, d)).astype(float), "r"))
+
+
+def test_singular_values_are_relatively_accurate():
+    """A graded bidiagonal, against its values in high precision (the product of all is the product of its diagonal)."""
+    a, b = np.logspace(0, -40, 12), np.logspace(-1, -38, 11)
+    values = whiten.squared_singular_values(a, b)
+    assert abs(np.log(values).sum() - 2 * np.log(a).sum()) < 1e-11
+    assert (np.diff(values) <= 0).all()
+
+
+def by_hand(vectors, k=8):
+    x = np.floor(1024 * vectors.astype(np.float64)).astype(np.int64) + 100_000
+    s = x.sum(0)
+    values, turn = np.linalg.eigh(np.cov(x.T, bias=True))
+    values, turn = values[::-1], turn[:, ::-1]
+    white = (x - s / len(x)) @ turn[:, :k] / np.sqrt(values[:k])
+    return x, s, white, values[:k] / values.sum()
+
+
+def check_rows(rows, ids, vectors, k=8):
+    x, s, white, explained = by_hand(vectors, k)
+    n = len(x)
+    deviation = dict(zip(ids, [sum((n * int(v) - int(t)) ** 2 for v, t in zip(row, s)) for row in x]))
+    got = {c: {r.vec_id: r for r in rows if r.component == c} for c in range(1, k + 1)}
+    assert len(rows) == k * n and {r.n for r in rows} == {n}
+    assert len({r.identity_error for r in rows}) == 1 and 0 <= rows[0].identity_error < 1e-9
+    for c in range(k):
+        column = np.array([got[c + 1][i].whitened for i in ids])
+        sign = math.copysign(1, column @ white[:, c])
+        assert np.abs(sign * column - white[:, c]).max() < 1e-8
+        assert all(abs(r.explained - explained[c]) <= 1e-10 * explained[c] for r in got[c + 1].values())
+        assert all(r.deviation == deviation[r.vec_id] for r in got[c + 1].values())
+
+
+def test_query(spark, sf):
+    table = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
+    got = queries.QUERIES["op11_embedding_whitening"](spark, sf).collect()
+    check_rows(got, [r.vec_id for r in table], np.array([r.embedding for r in table], np.float32))
+
+
+def test_many_partitions_are_merged_in_steps(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.standard_normal((400, 10)).astype(np.float32) * np.arange(1, 11, dtype=np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], SCHEMA).repartition(70)
+    check_rows(whiten.whitened(rows).collect(), list(range(400)), vectors)
+
+
+def test_rows_that_do_not_count(spark):
+    rng = np.random.default_rng(6)
+    good = rng.standard_normal((30, 4)).astype(np.float32)
+    rows = [(i, v.tolist(), "x") for i, v in enumerate(good)]
+    bad = [None, [], [1.0, None, 0.0, 0.0], [math.nan, 0.0, 0.0, 0.0], [0.0, math.inf, 0.0, 0.0], [0.0, 0.0, -math.inf, 0.0]]
+    rows += [(100 + k, v, None) for k, v in enumerate(bad)]
+    got = whiten.whitened(spark.createDataFrame(rows, SCHEMA + ", n string")).collect()
+    check_rows(got, list(range(30)), good, 4)
+
+
+def test_repeated_rows_null_ids_and_few_dimensions(spark):
+    rows = [(1, [0.0, 1.0]), (1, [0.0, 1.0]), (None, [2.0, 1.0]), (None, [5.0, 1.0])]
+    got = whiten.whitened(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(str(r.vec_id) for r in got) == ["1", "1", "None", "None"] and {r.component for r in got} == {1}
+    assert abs(sum(r.whitened for r in got)) < 1e-12 and abs(sum(r.whitened**2 for r in got) / 4 - 1) < 1e-12
+    assert {round(r.explained, 12) for r in got} == {1.0}
+
+
+def test_nothing_to_whiten(spark):
+    for rows in ([], [(1, None)], [(1, [1.0, 2.0])], [(1, [1.0, 2.0]), (2, [1.0, 2.0])]):
+        assert whiten.whitened(spark.createDataFrame(rows, SCHEMA)).collect() == []
+
+
+def test_unlike_lengths_fail(spark):
+    with pytest.raises(ValueError, match="1 to 2 dimensions"):
+        whiten.whitened(spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0])], SCHEMA))
+
+
+def test_deviation_is_exact_or_null():
+    x = np.array([[100_000, 99_000], [100_500, 101_000]])
+    s = np.array([10**12 + 1, 10**12 - 7], object)
+    for n in (2, 10**7, 10**9):
+        want = [sum((n * int(v) - int(t)) ** 2 for v, t in zip(row, s)) for row in x]
+        assert whiten.exact_deviation(x, n, s).to_pylist() == [v if v < 2**63 else None for v in want]
