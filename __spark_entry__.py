@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bandscope.plans import orders
-from bandscope.session import use_scratch
+from bandscope.session import named_scratch, use_scratch
 
 try:
     from bandscope.llm import queries as llm
@@ -22,13 +25,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["factor_scorecard"](spark, "/root/testdata/sf0.001")
 
 
-# Scratch folder of a session that names none in spark.checkpoint.dir.
-SCRATCH = "file:///tmp/checkpoints"
+def name_scratch(spark: SparkSession) -> None:
+    """A scratch folder for a local session that names none. On a cluster the session must name a shared one."""
+    if spark.sparkContext.master.startswith("local") and not named_scratch(spark):
+        folder = tempfile.mkdtemp(prefix="scratch-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        use_scratch(spark, f"file://{folder}")
 
 
 def with_scratch(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        use_scratch(spark, SCRATCH)
+        name_scratch(spark)
         return query(spark, sf_dir)
 
     return run
@@ -144,6 +151,38 @@ def box_sql(source: str, by: str, column: str) -> str:
         GROUP BY q."{by}" """
 
 
+TYPED = """typed AS (
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_orderkey * 5000000000 AS VARCHAR) AS wide_key,
+           CAST(o_totalprice AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS "day",
+           strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS moment,
+           CASE WHEN o_orderstatus = 'F' THEN 'true' WHEN o_orderstatus IS NOT NULL THEN 'false' END AS finished,
+           o_orderpriority, CASE WHEN o_orderkey % 1000 = 7 THEN 'n/a' ELSE CAST(o_orderkey AS VARCHAR) END AS nearly_key,
+           CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_totalprice AS VARCHAR) END AS some_price,
+           CAST(NULL AS VARCHAR) AS nothing
+    FROM orders)"""
+TYPED_COLUMNS = [
+    "o_orderkey", "wide_key", "o_totalprice", "day", "moment", "finished", "o_orderpriority", "nearly_key", "some_price", "nothing",
+]
+
+
+def inferred_sql(column: str) -> str:
+    """The narrowest type that every value can be cast to; dates are told from moments by their length."""
+    whole = f"""regexp_full_match("{column}", '[-+0-9]+')"""
+    number = f"""regexp_full_match("{column}", '[-+0-9.eE]+')"""
+    all_of = lambda test: f"""bool_and({test}) FILTER (WHERE "{column}" IS NOT NULL)"""
+    return f"""
+        SELECT '{column}' AS column_name, count(*) AS "rows", count(*) - count("{column}") AS nulls, count("{column}") AS n_fit,
+               CASE WHEN count("{column}") = 0 THEN 'string'
+                    WHEN {all_of(f"""lower("{column}") IN ('true', 'false')""")} THEN 'boolean'
+                    WHEN {all_of(f'{whole} AND TRY_CAST("{column}" AS INTEGER) IS NOT NULL')} THEN 'int'
+                    WHEN {all_of(f'{whole} AND TRY_CAST("{column}" AS BIGINT) IS NOT NULL')} THEN 'bigint'
+                    WHEN {all_of(f'{number} AND TRY_CAST("{column}" AS DOUBLE) IS NOT NULL')} THEN 'double'
+                    WHEN {all_of(f'length("{column}") = 10 AND TRY_CAST("{column}" AS DATE) IS NOT NULL')} THEN 'date'
+                    WHEN {all_of(f'TRY_CAST("{column}" AS TIMESTAMP) IS NOT NULL')} THEN 'timestamp_ntz'
+                    ELSE 'string' END AS type
+        FROM typed"""
+
+
 def oracle_sql() -> dict[str, str]:
     return analysis_sql() | (llm.oracle_sql() if llm else {})
 
@@ -196,6 +235,10 @@ def analysis_sql() -> dict[str, str]:
         "measure_by_band": f"WITH {MART} SELECT band, qty FROM mart WHERE qty IS NOT NULL",
         "mart_rows": f"WITH {MART} SELECT * FROM mart",
         "published_mart": f"WITH {MART} SELECT * FROM mart",
+        "published_versions": f"""WITH {MART}
+            SELECT *, '1' AS version FROM mart WHERE o_orderstatus <> 'F'
+            UNION ALL SELECT *, '2' FROM mart UNION ALL SELECT *, 'view' FROM mart""",
+        "scorecard_from_batches": f"WITH {MART} {scorecard_sql()}",
         "star_entity_dim": f"""{flat} SELECT CAST(o_orderkey AS VARCHAR) AS entity_id,
             c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM flat""",
         "star_behaviour_dim": f"""{flat} SELECT CAST(o_orderkey AS VARCHAR) AS entity_id,
@@ -216,6 +259,10 @@ def analysis_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT o_orderkey AS order_key FROM orders)""",
         "category_dim_hash": """SELECT DISTINCT c_mktsegment AS segment,
             md5(c_mktsegment) AS segment_id FROM customer""",
+        "category_dim_grown": """
+            SELECT part_type, row_number() OVER (ORDER BY load, part_type) AS type_id
+            FROM (SELECT p_type AS part_type, min(CASE WHEN p_size <= 3 THEN 1 ELSE 2 END) AS load
+                  FROM part WHERE p_type IS NOT NULL GROUP BY p_type)""",
         "fact_fk_resolved": f"""WITH segments AS ({numbered})
             SELECT o_orderkey, o_totalprice, c_mktsegment AS segment, segment_id
             FROM orders LEFT JOIN customer ON c_custkey = o_custkey
@@ -304,6 +351,12 @@ def analysis_sql() -> dict[str, str]:
         "fact_fk_null": f"""WITH {quality}
             SELECT doc_id, quality, CASE quality WHEN 0 THEN CAST(1 AS BIGINT) WHEN 1 THEN 2 END AS quality_id
             FROM graded""",
+        "csv_inferred_types": f"WITH {TYPED} " + " UNION ALL ".join(map(inferred_sql, TYPED_COLUMNS)),
+        "csv_inferred_rows": f"""WITH {TYPED}
+            SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(wide_key AS BIGINT) AS wide_key,
+                   CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST("day" AS DATE) AS "day",
+                   CAST(moment AS TIMESTAMP) AS moment, CAST(finished AS BOOLEAN) AS finished, o_orderpriority,
+                   nearly_key, CAST(some_price AS DOUBLE) AS some_price, nothing FROM typed""",
         "csv_malformed": f"""SELECT o_orderkey, o_orderstatus,
             CASE WHEN {price_missing} THEN NULL ELSE o_totalprice END AS o_totalprice FROM orders""",
         "csv_reject_counts": """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from bandscope.session import broadcast_if_small, stored
@@ -21,13 +21,21 @@ def dense_ids(keys: DataFrame, key: str, id_name: str, size: int = RANGE) -> Dat
     """Number distinct keys 1..n in key order, NULL last, without sorting them in one task.
 
     Range partitions, as many as the keys need at ``size`` to each, are sorted on their own; each
-    then starts after the rows of the ones before it. The numbered copy is stored first, because
-    where a range ends is sampled and must be the same for the counting and for the numbering.
+    then starts after the rows of the ones before it. Keys are counted while they are stored. With several
+    ranges the numbered copy is stored too, because where a range ends is sampled and must be the same
+    for the counting and for the numbering.
     """
     in_order = F.col(key).asc_nulls_last()
-    keys = stored(keys, "keys")
+    seen = Observation()
+    keys = stored(keys.observe(seen, F.count("*").alias("rows")), "keys")
+    ranges = max(1, -(-seen.get["rows"] // size))
+    if ranges == 1:
+        # At most `size` keys: one task sorts and numbers them, and there is nothing to sample.
+        return keys.coalesce(1).sortWithinPartitions(in_order).select(
+            key, (F.monotonically_increasing_id() + 1).alias(id_name)
+        )
     numbered = stored(
-        keys.repartitionByRange(max(1, -(-keys.count() // size)), in_order)
+        keys.repartitionByRange(ranges, in_order)
         .sortWithinPartitions(in_order)
         .withColumn("_slot", F.monotonically_increasing_id()),
         "dense-ids",

@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandscope.operators import cohort, distribution, keys, profile
+from bandscope.operators import cohort, distribution, keys, ledger, profile
 from bandscope.operators.mart import build_mart, entity_measure_pairs, refuse_duplicates
 from bandscope.operators.star import behaviour_dim, entity_dim, fact_rows, split_star
 from bandscope.session import scratch_path, stored
 from bandscope.sources.csv import csv_rejects, read_csv, read_text_csv, write_csv
+from bandscope.sources import infer
 from bandscope.sources.layers import (
     land_bronze,
     normalise_names,
@@ -27,6 +28,7 @@ from bandscope.sources.layers import (
     register_views,
     write_layer,
 )
+from bandscope.sources.versions import VersionedFolder, point_view, publish_version
 from bandscope.spec import BandSpec, Dimension, StarSpec, mean, rate
 
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
@@ -272,6 +274,39 @@ def published_mart(
     return publish_view(spark, f"{database}.{view}", f"{database}.{name}")
 
 
+def published_versions(
+    spark: SparkSession, sf_dir: str, view: str = "bandscope_versioned_mart", database: str = "default"
+) -> DataFrame:
+    """The mart published twice, first without the finished orders: the version before, the current one, and the view."""
+    root = scratch_path(spark, "versions")
+    mart = order_mart(spark, sf_dir)
+    publish_version(mart.filter("o_orderstatus <> 'F'"), root, f"{database}.{view}")
+    last = publish_version(mart, root, f"{database}.{view}")
+    folder = VersionedFolder(spark, root)
+    kept = [folder.read(n).withColumn("version", F.lit(str(n))) for n in (last.number - 1, last.number)]
+    seen = point_view(spark, root, f"{database}.{view}").withColumn("version", F.lit("view"))
+    return kept[0].unionByName(kept[1]).unionByName(seen)
+
+
+def scorecard_from_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scorecard from a state kept by three batches of orders, the second sent twice.
+
+    The first batch has every order that ends in 0 with a price too high by a tenth; the third takes these rows back.
+    """
+    root = scratch_path(spark, "scorecard-state")
+    mart = order_mart(spark, sf_dir)
+    early, wrong = F.col("o_orderkey") % 2 == 0, F.col("o_orderkey") % 10 == 0
+    first = mart.filter(early)
+    priced = first.withColumn("o_totalprice", F.when(wrong, F.col("o_totalprice") * 1.1).otherwise(F.col("o_totalprice")))
+    gone, anew = priced.filter(wrong), first.filter(wrong)
+    revised = gone.withColumn("sign", F.lit(-1)).unionByName(anew.withColumn("sign", F.lit(1)))
+    ledger.commit_batch(root, "monday", ledger.partial_scorecard(priced, FACTORS))
+    for _ in range(2):
+        ledger.commit_batch(root, "tuesday", ledger.partial_scorecard(mart.filter(~early), FACTORS))
+    ledger.commit_batch(root, "wednesday", ledger.partial_scorecard(revised, FACTORS, F.col("sign")))
+    return ledger.scorecard_from_state(ledger.scorecard_state(spark, root), FACTORS, BANDS)
+
+
 def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session views joined by SQL with aliases and a derived table."""
     register_views({f"bandscope_{n}": table(spark, sf_dir, n) for n in ("customer", "orders")})
@@ -290,6 +325,16 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.category_dim(customer, "c_mktsegment", "segment", "segment_id")
 
 
+def category_dim_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part types numbered over two loads, the small sizes first; the second load is sent twice."""
+    root = scratch_path(spark, "type-ids")
+    part = table(spark, sf_dir, "part")
+    ledger.grow_category_dim(root, "small", part.filter("p_size <= 3"), "p_type", "part_type", "type_id")
+    for _ in range(2):
+        grown = ledger.grow_category_dim(root, "all", part, "p_type", "part_type", "type_id")
+    return grown
+
+
 def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A category dimension as large as its table."""
     return keys.category_dim(table(spark, sf_dir, "orders"), "o_orderkey", "order_key", "order_id")
@@ -533,6 +578,37 @@ PRICE_CONTRACT = T.StructType(
 )
 
 
+def orders_as_text(spark: SparkSession, sf_dir: str) -> str:
+    """A CSV with a column of each type, columns that nearly have one, and one without a value."""
+    path = scratch_path(spark, "typed-csv")
+    key = F.col("o_orderkey")
+    write_csv(
+        table(spark, sf_dir, "orders").select(
+            "o_orderkey",
+            (key * 5_000_000_000).alias("wide_key"),
+            "o_totalprice",
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+            F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("moment"),
+            (F.col("o_orderstatus") == "F").cast("string").alias("finished"),
+            "o_orderpriority",
+            F.when(key % 1000 == 7, "n/a").otherwise(key.cast("string")).alias("nearly_key"),
+            F.when(key % 3 == 0, F.lit("NA")).otherwise(F.col("o_totalprice").cast("string")).alias("some_price"),
+            F.lit(None).cast("string").alias("nothing"),
+        ),
+        path,
+    )
+    return path
+
+
+def csv_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = read_text_csv(spark, orders_as_text(spark, sf_dir))
+    return infer.profile_type(infer.type_profile(text, ("", "NA")))
+
+
+def csv_inferred_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infer.read_inferred_csv(spark, orders_as_text(spark, sf_dir), ("", "NA"))
+
+
 def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = orders_with_bad_prices(spark, sf_dir)
     return read_csv(spark, path, PRICE_CONTRACT, null_tokens=("", "NA"))
@@ -558,6 +634,8 @@ QUERIES = {
     "measure_by_band": quantity_rows,
     "mart_rows": order_mart,
     "published_mart": published_mart,
+    "published_versions": published_versions,
+    "scorecard_from_batches": scorecard_from_batches,
     "sql_views": sql_views,
     "star_entity_dim": star_entity,
     "star_behaviour_dim": star_behaviour,
@@ -567,6 +645,7 @@ QUERIES = {
     "category_dim": segments,
     "category_dim_large": order_keys,
     "category_dim_hash": segments_hash,
+    "category_dim_grown": category_dim_grown,
     "fact_fk_resolved": fact_fk_resolved,
     "fact_fk_null": fact_fk_null,
     "key_report": key_report,
@@ -597,6 +676,8 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_all_text": csv_all_text,
     "csv_multiline": csv_multiline,
+    "csv_inferred_types": csv_inferred_types,
+    "csv_inferred_rows": csv_inferred_rows,
     "csv_malformed": csv_malformed,
     "csv_reject_counts": csv_reject_counts,
 }

@@ -30,16 +30,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def named_scratch(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def use_scratch(spark: SparkSession, folder: str) -> None:
     """Name the shared scratch folder of a session that has none. A folder set already stays."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+    if not named_scratch(spark):
         spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the session names in spark.checkpoint.dir."""
     context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    named = named_scratch(spark)
     if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share, or call use_scratch")
     if context.getCheckpointDir() is None:

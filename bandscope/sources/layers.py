@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from bandscope.session import release
 from bandscope.sources.csv import MALFORMED, read_csv, write_csv
+from bandscope.sources.infer import infer_schema
+from bandscope.sources.swap import recover, swap_in
 
 
 def normalise_names(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -23,7 +25,7 @@ def land_bronze(
     spark: SparkSession,
     source: str,
     destination: str,
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     null_tokens: Sequence[str] = ("",),
     renames: Mapping[str, str] | None = None,
     multi_line: bool = False,
@@ -34,8 +36,13 @@ def land_bronze(
     Columns named in the schema are typed, the others stay text. A missing source fails here,
     before any work. Rows with too few or too many fields are counted by the scan that lands them;
     if there are some, the landing fails with their number and the destination stays as it was,
-    unless ``allow_malformed``.
+    unless ``allow_malformed``. Without a schema the types are those that all values of the source tell.
+    The new rows take the place of the old ones by a swap that a crash cannot lose: the next landing
+    finishes it (`sources.swap`).
     """
+    recover(spark, destination)
+    if schema is None:
+        schema = infer_schema(spark, source, null_tokens, multi_line)
     raw = read_csv(spark, source, schema, null_tokens, True, multi_line, MALFORMED)
     seen = Observation()
     counted = raw.observe(seen, F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"))
@@ -44,21 +51,29 @@ def land_bronze(
     if seen.get["malformed"] and not allow_malformed:
         release(spark, aside)
         raise ValueError(f"{source}: {seen.get['malformed']} rows have too few or too many fields")
-    release(spark, destination)
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, destination))
-    old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new)
+    swap_in(spark, aside, destination)
     return spark.read.parquet(destination)
 
 
 def write_layer(tables: Mapping[str, DataFrame], destination: str, fmt: str = "parquet") -> None:
-    """Write each table under destination/<name>, replacing what is there. The writes run side by side."""
+    """Write each table under destination/<name>. The writes run side by side.
+
+    A table is written aside and then swapped in, so the old one stays if a write fails, and a table may be
+    made from the one it replaces.
+    """
 
     def write(name: str) -> None:
         path = f"{destination.rstrip('/')}/{name}"
-        if fmt == "csv":
-            write_csv(tables[name], path)
-        else:
-            tables[name].write.mode("overwrite").format(fmt).save(path)
+        aside = f"{path}-writing-{uuid.uuid4().hex}"
+        try:
+            if fmt == "csv":
+                write_csv(tables[name], aside)
+            else:
+                tables[name].write.format(fmt).save(aside)
+        except BaseException:
+            release(tables[name].sparkSession, aside)
+            raise
+        swap_in(tables[name].sparkSession, aside, path)
 
     if tables:
         with ThreadPoolExecutor(len(tables)) as pool:
@@ -66,8 +81,11 @@ def write_layer(tables: Mapping[str, DataFrame], destination: str, fmt: str = "p
 
 
 def read_layer(spark: SparkSession, destination: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    """The Parquet tables of a layer."""
-    return {n: spark.read.parquet(f"{destination.rstrip('/')}/{n}") for n in names}
+    """The Parquet tables of a layer. A swap that was cut short is finished first."""
+    paths = {n: f"{destination.rstrip('/')}/{n}" for n in names}
+    for path in paths.values():
+        recover(spark, path)
+    return {n: spark.read.parquet(path) for n, path in paths.items()}
 
 
 def refuse_heavy_key(df: DataFrame, key: str, buckets: int) -> None:
