@@ -5,7 +5,9 @@ that falls with the share of characters and tags that are links, its base taken
 core of the content. The lowest density on the path from the core up to the body is the threshold that
 the other branches along that path must reach to belong to the content; headlines need not reach it. Where
 the path passes article or main elements, all of the innermost belongs to the content too. Elements that
-are furniture by tag, role or name are cut beforehand.
+are furniture by tag, role or name are cut beforehand. A name is a whole word of class or id, or several joined by hyphens
+that all speak of furniture and its layout; it counts on containers, and inside the article not on
+paragraphs, headlines and other elements that hold running text.
 """
 
 from __future__ import annotations
@@ -31,11 +33,18 @@ FURNITURE = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar"
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar"
     " footer cookie cookies consent gdpr notice notices alert popup modal newsletter subscribe subscription signup login share sharing social related"
     " recommended teaser teasers widget widgets pager pagination".split()
 )
-HEADS = frozenset("header masthead topbar".split())
+# Words that say nothing beside a name of furniture.
+LAYOUT = frozenset(
+    "area bar block bottom box buttons card col column container form global group header inline inner item items left links list module"
+    " outer page panel posts right row section side site slot small stories strip top unit user wrap wrapper".split()
+)
+# Elements of running text: names do not make furniture of them inside the article.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figure figcaption address details summary".split())
+HEADS = frozenset("header masthead topbar banner".split())
 STORY = frozenset("article post entry content story".split())
 TALK = frozenset("comment comments respond replies discussion disqus".split())
 # An element that starts in one of these ends it.
@@ -125,14 +134,14 @@ class Page:
 
 
 def names(attributes: str) -> tuple[set[str], bool]:
-    """Words of an element's class, id and role, and whether it is hidden."""
+    """Class tokens, id and roles of an element, and whether it is hidden."""
     words: set[str] = set()
     hidden = False
     if attributes:
         for key, a, b, c in ATTRIBUTE.findall(attributes):
             key, value = key.lower(), (a or b or c).lower()
             if key in ("class", "id"):
-                words.update(SPLIT.split(value))
+                words.update(value.split())
             elif key == "role":
                 words.update(f"role={x}" for x in value.split())
             elif key == "hidden" or key == "style" and "display:none" in value.replace(" ", ""):
@@ -140,32 +149,45 @@ def names(attributes: str) -> tuple[set[str], bool]:
     return words, hidden
 
 
-def furniture(page: Page, chars: list[int]) -> list[bool]:
-    """For each element whether it or one around it is no content. `chars` counts the text below each element.
+def named(words: set[str], of: frozenset[str]) -> bool:
+    """Whether a token is one of these names, alone or joined with further names and words of layout only."""
+    for word in words:
+        parts = {p.rstrip("0123456789") for p in SPLIT.split(word)} - {""}
+        if parts & of and parts <= of | NAMES | HEADS | TALK | LAYOUT:
+            return True
+    return False
+
+
+def furniture(page: Page) -> list[bool]:
+    """For each element whether it or one around it is no content.
 
-    A header is furniture outside the article only. Names count for nothing on an element that holds the
-    article, nor, where no element says that it is the article, on one that holds most of the text.
+    A header is furniture outside the article only. Names count for nothing on an element that holds the article or,
+    in a page without one, other names than those of headers on an element that holds a headline h1. If
+    they leave no text at all, none of them counts.
     """
     n = len(page.tag)
-    holds = [False] * n
-    within = [False] * n
     found = [names(a) for a in page.attributes]
     main = [t in ("article", "main") or "role=main" in found[i][0] for i, t in enumerate(page.tag)]
-    any_main = any(main)
+    headline = [t == "h1" and not any(main) for t in page.tag]
+    holds, heads, within = [False] * n, [False] * n, [False] * n
     for i in range(n - 1, 0, -1):
         holds[page.parent[i]] |= holds[i] or main[i]
-    out = [False] * n
+        heads[page.parent[i]] |= heads[i] or headline[i]
+    sure, maybe = [False] * n, [False] * n
     for i in range(1, n):
         up = page.parent[i]
         within[i] = within[up] or main[up]
         words, hidden = found[i]
-        bad = page.tag[i] in FURNITURE or hidden or (page.tag[i] == "header" and not within[i])
-        if not bad and words and not holds[i] and page.tag[i] != "body" and not main[i]:
-            bad = bool(words & TALK) or any(f"role={r}" in words for r in ROLES)
-            bad = bad or bool(words & HEADS) and not within[i] and not words & STORY
-            bad = bad or bool(words & NAMES) and (any_main or 2 * chars[i] <= chars[0])
-        out[i] = out[up] or bad
-    return out
+        sure[i] = sure[up] or page.tag[i] in FURNITURE or hidden or page.tag[i] == "header" and not within[i]
+        maybe[i] = maybe[up]
+        if words and not holds[i] and not main[i] and page.tag[i] != "body":
+            sure[i] = sure[i] or any(f"role={r}" in words for r in ROLES)
+            if not (within[i] and page.tag[i] in TEXT):
+                story = any(STORY & set(SPLIT.split(w)) for w in words)
+                maybe[i] |= not within[i] and not story and named(words, HEADS)
+                maybe[i] |= not heads[i] and (named(words, TALK) or named(words, NAMES))
+    out = [a or b for a, b in zip(sure, maybe, strict=True)]
+    return out if any(not out[e] and not text.isspace() for e, _, text in page.pieces) else sure
 
 
 def below(page: Page, own: list[int]) -> list[int]:
@@ -175,13 +197,12 @@ def below(page: Page, own: list[int]) -> list[int]:
     return total
 
 
-def content(page: Page) -> tuple[list[bool], list[bool]]:
-    """For each element whether its own text is content, and whether it is furniture."""
+def densities(page: Page, cut: list[bool]) -> tuple[list[float], list[float], int]:
+    """Density of each element, the sum of its children's, and the core: the element with the largest sum."""
     n = len(page.tag)
     own = [0] * n
     for element, _, text in page.pieces:
         own[element] += len("".join(text.split()))
-    cut = furniture(page, below(page, own))
     linked = [False] * n
     for i in range(1, n):
         linked[i] = linked[page.parent[i]] or page.tag[i] == "a"
@@ -201,6 +222,14 @@ def content(page: Page) -> tuple[list[bool], list[bool]]:
     for i in range(1, n):
         total[page.parent[i]] += density[i]
     core = max(range(n), key=lambda i: (total[i], -i)) if n > 1 and max(total) > 0 else body
+    return density, total, core
+
+
+def content(page: Page) -> tuple[list[bool], list[bool]]:
+    """For each element whether its own text is content, and whether it is furniture."""
+    n, cut = len(page.tag), furniture(page)
+    density, _, core = densities(page, cut)
+    body = next((i for i, t in enumerate(page.tag) if t == "body"), 0)
     path = [core]
     while page.parent[path[-1]] >= 0:
         path.append(page.parent[path[-1]])
@@ -241,15 +270,16 @@ def extract(pages: DataFrame, html: str = "html", text: str = "text", n_chars: s
     Null, empty and furniture-only pages have the empty text. Rows are handled one by one, whole; repeated rows alike.
     """
     kept = [c for c in pages.columns if c not in (html, text, n_chars)]
-    schema = pages.select(*kept, F.lit("").alias(text), F.lit(0).cast("long").alias(n_chars)).schema
+    plain = pages.select(*(F.col(f"`{c}`") for c in kept), F.col(f"`{html}`").cast("string"))
+    # Columns are told by position on the way, so their names cannot clash.
+    numbered = plain.toDF(*(f"c{i}" for i in range(len(kept))), "page")
+    schema = numbered.drop("page").select("*", F.lit("").alias("text"), F.lit(0).cast("long").alias("n_chars")).schema
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "_html", 4 << 20):
-                texts = [main_text(h or "") for h in part.column("_html").to_pylist()]
-                columns = [part.column(i) for i in range(len(kept))]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], [*kept, text, n_chars]
-                )
-
-    return pages.select(*kept, F.col(html).alias("_html")).mapInArrow(W.tidy(read), schema)
+            for part in W.slices(batch, "page", 4 << 20):
+                texts = [main_text(h or "") for h in part.column("page").to_pylist()]
+                columns = [*(part.column(i) for i in range(len(kept))), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return numbered.mapInArrow(W.tidy(read), schema).toDF(*kept, text, n_chars)
