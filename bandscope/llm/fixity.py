@@ -1,7 +1,7 @@
 """Merkle fixity audit of WARC replicas.
 
 Records lie one after another; the ranges of `RANGE` bytes they begin in are the leaves of a tree, each the
-hash of its records' offsets, lengths and digests in order. A node above is the hash of its children in
+hash of its records' offsets, ids, lengths and digests in order. A node above is the hash of its children in
 order. Two replicas are compared from the root down, and only the children of nodes that differ are looked
 at, until the records of the differing ranges tell what is corrupt. All of it is aggregation and joins; a
 group holds at most the records that begin in one range (few, since every record has a header), or
@@ -63,17 +63,19 @@ def laid_out(records: DataFrame, order: tuple[str, ...], size: int = LAID) -> Da
     )
 
 
+def digest_of(rows: list[str]) -> Column:
+    """SHA-256 of a group's rows in order. Written as JSON, which leaves out nulls with their names, no two lists look alike."""
+    return F.sha2(F.to_json(F.array_sort(F.collect_list(F.struct(*rows)))), 256)
+
+
 def leaves(records: DataFrame, size: int) -> DataFrame:
     """(node, hash) of each range in which records begin. Equal records at one offset all count."""
-    lines = F.array_sort(F.collect_list(F.struct("offset", "length", "digest")))
-    text = F.array_join(F.transform(lines, lambda r: F.concat_ws(":", r["offset"], r["length"], r["digest"])), "\n")
-    return records.groupBy(F.floor(F.col("offset") / size).alias("node")).agg(F.sha2(text, 256).alias("hash"))
+    ranges = records.groupBy(F.floor(F.col("offset") / size).alias("node"))
+    return ranges.agg(digest_of(["offset", "record_id", "length", "digest"]).alias("hash"))
 
 
 def parents(nodes: DataFrame, fanout: int) -> DataFrame:
-    children = F.array_sort(F.collect_list(F.struct("node", "hash")))
-    text = F.array_join(F.transform(children, lambda c: F.concat_ws(":", c["node"], c["hash"])), "\n")
-    return nodes.groupBy(F.floor(F.col("node") / fanout).alias("node")).agg(F.sha2(text, 256).alias("hash"))
+    return nodes.groupBy(F.floor(F.col("node") / fanout).alias("node")).agg(digest_of(["node", "hash"]).alias("hash"))
 
 
 def tree(records: DataFrame, levels: int, size: int, fanout: int) -> list[DataFrame]:
