@@ -1,8 +1,9 @@
 """URL filter: rules by host and path, and a list of URLs behind a blocked Bloom filter.
 
 Each listed canonical URL sets `BITS` bits in one block of `BLOCK` bits, which its hash chooses. The
-filter is a table with a row for each block, made by one aggregation, and joined by block number. What
-passes it goes to an exact join with the list, so false positives are removed.
+filter is a table with a row for each block, made by one aggregation, and broadcast in parts of bounded size, each of
+which the rows pass without a shuffle. What passes them goes to an exact join with the list, so false positives are
+removed; the other rows take no part in it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandscope.llm.columns import set_aside
-from bandscope.session import broadcast_if_small, stored
+from bandscope.session import BROADCAST_BYTES, broadcast_if_small, stored, weight
 
 BLOCK, BITS = 256, 8
 BITS_PER_URL = 16
@@ -64,23 +65,36 @@ def bloom(listed: DataFrame, blocks: int) -> DataFrame:
     return words.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(BLOCK // 64)))
 
 
-def in_list(urls: DataFrame, key: str, listed: DataFrame, flag: str = "listed") -> DataFrame:
-    """`urls` with a boolean column: whether the canonical URL in `key` is in the column `key` of `listed`. Null keys are not."""
+def in_list(urls: DataFrame, key: str, listed: DataFrame, flag: str = "listed", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`urls` with a boolean column: whether the canonical URL in `key` is in the column `key` of `listed`. Null keys are not.
+
+    A filter of more than `limit` bytes is broadcast in parts, one after another; the rows are written
+    between them, so one part is held at a time.
+    """
     keys = stored(listed.select("key").filter("key IS NOT NULL").distinct(), "listed")
     blocks = max(1, -(-keys.count() * BITS_PER_URL // BLOCK))
     table = stored(bloom(keys, blocks), "bloom")
     words = [f"w{i}" for i in range(BLOCK // 64)]
-    kept, other = set_aside(urls, ("block", "listed", *words, "wanted", "block_no", "probe", flag))
+    rows, other = set_aside(urls, ("block", "listed", *words, "wanted", "block_no", "hit", flag))
     own = F.col(f"`{other.get(key, key)}`")
-    probed = kept.withColumns({"wanted": F.array(*masks(own)), "block_no": F.pmod(F.xxhash64(own), F.lit(blocks))}).join(
-        broadcast_if_small(table), F.col("block_no") == F.col("block"), "left"
-    )
-    hit = reduce(lambda a, b: a & b, (F.col(w).bitwiseAND(F.col("wanted")[i]) == F.col("wanted")[i] for i, w in enumerate(words)), own.isNotNull())
-    # Only possible hits look for a partner; the others have a null key, which the join leaves alone.
-    exact = broadcast_if_small(keys).select(F.col("key").alias("listed"))
-    found = probed.withColumn("probe", F.when(F.coalesce(hit, F.lit(False)), own)).join(exact, F.col("probe") == F.col("listed"), "left")
-    answer = F.col("listed").isNotNull().alias(flag)
-    return found.select(*(F.col(f"`{other.get(c, c)}`").alias(c) for c in urls.columns if c != flag), answer)
+    rows = rows.withColumn("hit", F.lit(False))
+    parts = max(1, -(-weight(table) // limit))
+    for part in range(parts):
+        some = F.broadcast(table.filter(F.pmod("block", F.lit(parts)) == part))
+        probed = rows.withColumns({"wanted": F.array(*masks(own)), "block_no": F.pmod(F.xxhash64(own), F.lit(blocks))}).join(
+            some, F.col("block_no") == F.col("block"), "left"
+        )
+        passes = (F.col(w).bitwiseAND(F.col("wanted")[i]) == F.col("wanted")[i] for i, w in enumerate(words))
+        passed = F.coalesce(reduce(lambda a, b: a & b, passes, own.isNotNull()), F.lit(False))
+        rows = probed.select(*(c for c in rows.columns if c != "hit"), (F.col("hit") | passed).alias("hit"))
+        if part + 1 < parts:
+            rows = stored(rows, "probed")
+    # Only possible hits look for a partner.
+    exact = broadcast_if_small(keys, limit).select(F.col("key").alias("listed"))
+    found = rows.filter("hit").join(exact, own == F.col("listed"), "left").withColumn("hit", F.col("listed").isNotNull())
+    answer = F.col("hit").alias(flag)
+    columns = [*(F.col(f"`{other.get(c, c)}`").alias(c) for c in urls.columns if c != flag), answer]
+    return found.select(*columns).unionAll(rows.filter("NOT hit").select(*columns))
 
 
 def rule_for(name: Column, place: Column, rules: tuple[tuple[str, str, str], ...]) -> tuple[Column, Column]:
@@ -100,10 +114,15 @@ def judge_urls(rows: DataFrame, listed: DataFrame, rules: tuple[tuple[str, str,
     allowed. A null URL or one without :// has an empty host and path, fits no rule and is allowed. Every
     row is judged by itself, repeated ones alike.
     """
-    kept = [c for c in rows.columns if c not in ("host", "path", "rule", "verdict")]
+    added = ("host", "path", "rule", "verdict")
+    kept = [c for c in rows.columns if c not in added]
     text, says = rule_for(F.col("host"), F.col("path"), rules)
-    named = rows.select(*kept, host(F.col(url)).alias("host"), path(F.col(url)).alias("path"), canonical(F.col(url)).alias("_canon"))
-    flagged = in_list(named, "_canon", listed, "_on_list")
+    plain, other = set_aside(rows.select(*(F.col(f"`{c}`") for c in kept)), ("canon", "on_list"))
+    names = [other.get(c, c) for c in kept]
+    own = F.col(f"`{other.get(url, url)}`")
+    named = plain.select(*(F.col(f"`{c}`") for c in names), host(own).alias("host"), path(own).alias("path"), canonical(own).alias("canon"))
+    flagged = in_list(named, "canon", listed, "on_list")
+    verdict = F.coalesce(says, F.when(F.col("on_list"), "block").otherwise("allow"))
     return flagged.select(
-        *kept, "host", "path", text.alias("rule"), F.coalesce(says, F.when(F.col("_on_list"), "block").otherwise("allow")).alias("verdict")
+        *(F.col(f"`{n}`").alias(c) for n, c in zip(names, kept, strict=True)), "host", "path", text.alias("rule"), verdict.alias("verdict")
     )
