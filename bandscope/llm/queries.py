@@ -80,19 +80,17 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_links", "group_size")
 
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-CHUNK = r"[^\x09-\x0D\x20]+"
-
-
 def token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents by two ways to count; then some are deleted and some counted anew, in one batch sent twice."""
+    """Tokens of all documents, counted once; then some are deleted and some counted anew, in one batch sent twice.
+
+    Those counted anew get the end token that packing adds to them.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
-    ways = {"words-1": F.regexp_count("text", F.lit(WORD)), "chunks-1": F.regexp_count("text", F.lit(CHUNK))}
-    counts = rollup.counted(docs, ways)
+    counts = stored(rollup.counted_by(docs, {"word_bpe_49k": packing.tokenizer_path()}), "token-counts")
     state = scratch_path(spark, "rollup")
     rollup.commit(state, "load", rollup.inserts(counts))
     gone = counts.filter("doc_id % 7 = 3")
-    anew = counts.filter("doc_id % 7 <> 3 AND doc_id % 5 = 1 AND tokenizer = 'words-1'")
+    anew = counts.filter("doc_id % 7 <> 3 AND doc_id % 5 = 1")
     for _ in range(2):
         rollup.commit(state, "night", rollup.deletes(gone).unionByName(rollup.revisions(anew, F.col("n_tokens") + 1)))
     return rollup.totals(spark, state)
@@ -182,18 +180,8 @@ SELECT page_id, host, path, rule,
             WHEN canon IN (SELECT canon FROM canonical WHERE page_id % 10 = 3 AND canon IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled"""
 
-ROLLUP_SQL = f"""
-WITH counts AS (
-    SELECT doc_id, source, lang, 'words-1' AS tokenizer, coalesce(len(regexp_extract_all(text, '{WORD}')), 0) AS n FROM documents
-    UNION ALL
-    SELECT doc_id, source, lang, 'chunks-1', coalesce(len(regexp_extract_all(text, '{CHUNK}')), 0) FROM documents)
-SELECT source, lang, tokenizer, count(*) AS n_docs,
-       CAST(sum(n + CASE WHEN doc_id % 5 = 1 AND tokenizer = 'words-1' THEN 1 ELSE 0 END) AS BIGINT) AS n_tokens
-FROM counts WHERE doc_id IS NULL OR doc_id % 7 <> 3 GROUP BY source, lang, tokenizer"""
-
-
 def oracle_sql() -> dict[str, str]:
-    found = {"op3_warc_fixity": FIXITY_SQL, "op5_url_filter": URL_SQL, "op10_token_rollup": ROLLUP_SQL}
+    found = {"op3_warc_fixity": FIXITY_SQL, "op5_url_filter": URL_SQL}
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found

@@ -270,11 +270,14 @@ def fit_rows(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def reduce_blocks(parts: DataFrame, merge, schema: str) -> list:
-    """Rows of partial results, merged by FANIN at a time until FANIN or fewer are left, which come to the driver."""
+    """Rows of partial results, one a partition, merged by FANIN at a time until FANIN or fewer are left, which come to the driver.
+
+    Each step shuffles these rows, so the steps before it keep their own number of tasks.
+    """
     n = parts.rdd.getNumPartitions()
     while n > FANIN:
         n = -(-n // FANIN)
-        parts = parts.coalesce(n).mapInArrow(W.tidy(merge), schema)
+        parts = parts.repartition(n).mapInArrow(W.tidy(merge), schema)
     return parts.collect()
 
 

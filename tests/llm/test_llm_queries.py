@@ -30,6 +30,18 @@ def test_matches_sql(spark, sf, name):
         assert harness.differences(df, contract.oracle_sql()[name], harness.connect(sf)) == []
 
 
+def test_token_rollup_by_hand(spark, sf):
+    with scratch_scope(spark):
+        got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in contract.queries()["op10_token_rollup"](spark, sf).collect()}
+    want = defaultdict(lambda: [0, 0])
+    for r in spark.read.parquet(f"{sf}/documents.parquet").collect():
+        if r.doc_id % 7 != 3:
+            own = want[r.source, r.lang, "word_bpe_49k"]
+            own[0] += 1
+            own[1] += len(ids_of(r.text or "")) + (r.doc_id % 5 == 1)
+    assert got == {k: tuple(v) for k, v in want.items()}
+
+
 def test_pipeline_stages(spark, sf_small):
     """Each stage against a plain version over what the one before wrote."""
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")

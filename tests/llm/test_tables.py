@@ -5,8 +5,12 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from bandscope.llm import fixity, rollup, urls
+from tokenizers import Tokenizer
+
+from bandscope.llm import fixity, packing, rollup, urls
 from bandscope.session import scratch_path
+from bandscope.sources import files
+from bandscope.sources.versions import VersionedFolder
 
 
 # -- fixity
@@ -46,6 +50,19 @@ def test_equal_empty_and_odd_replicas(spark):
     assert [(r.offset, r.status) for r in changed] == [(0, "changed")]
 
 
+def test_ids_and_nulls_are_in_the_hashes(spark):
+    """Replicas that differ in one record's id alone, or in which of two fields is null."""
+    frame = lambda rows: spark.createDataFrame(rows, RECORDS)
+    ours = replica(40)
+    theirs = [("x" if r[0] == "7" else r[0], *r[1:]) for r in ours]
+    found = fixity.audit(frame(ours), frame(theirs), 1000, 4).collect()
+    assert sorted((r.record_id, r.status) for r in found) == [("7", "missing"), ("x", "surplus")]
+    a, b = [("r", 0, None, "5")], [("r", 0, 5, None)]
+    assert [(r.record_id, r.status) for r in fixity.audit(frame(a), frame(b)).collect()] == [("r", "changed")]
+    a, b = [("r:1", 0, 2, "x")], [("r", 0, 1, "2:x")]
+    assert fixity.audit(frame(a), frame(b)).count() == 2
+
+
 def test_only_differing_branches_are_descended(spark):
     a, b = (spark.createDataFrame(replica(n, c), RECORDS) for n, c in ((256, None), (256, {5: "!"})))
     one, two = fixity.tree(a, 3, 100, 16), fixity.tree(b, 3, 100, 16)
@@ -129,6 +146,39 @@ def test_filter_passes_all_listed_and_few_others(spark):
     assert set(range(4000)) <= passed and len(passed) < 4000 + 100
 
 
+def test_clashing_columns_come_back(spark):
+    names = ["canon", "on_list", "_canon", "_on_list", "hit", "block", "probe"]
+    rows = spark.createDataFrame([(1, "http://a.org/x", *range(7)), (2, None, *range(7))], ["page_id", "url", *names])
+    listed = spark.createDataFrame([("a.org/x",)], "key string")
+    got = urls.judge_urls(rows, listed).orderBy("page_id")
+    assert got.columns == ["page_id", "url", *names, "host", "path", "rule", "verdict"]
+    assert [tuple(r)[2:9] + (r.verdict,) for r in got.collect()] == [(*range(7), "block"), (*range(7), "allow")]
+
+
+def test_large_filters_are_broadcast_in_parts(spark):
+    listed = spark.range(3000).select(F.concat(F.lit("h/"), "id").alias("key"))
+    rows = spark.range(2000, 5000).select(F.concat(F.lit("h/"), "id").alias("k"), F.lit("x").alias("hit"), "id")
+    rows = rows.unionByName(rows.filter("id = 2000")).unionByName(rows.limit(3).withColumn("k", F.lit(None).cast("string")))
+    got = urls.in_list(rows, "k", listed, limit=2500).collect()
+    assert len(got) == 3004 and {r.hit for r in got} == {"x"}
+    assert all(r.listed == (r.k is not None and int(r.k[2:]) < 3000) for r in got)
+
+
+def test_only_possible_hits_meet_the_list(spark, conf):
+    """With no broadcast of the list, the rows that the filter stops are in no shuffle."""
+    listed = spark.range(300).select(F.concat(F.lit("h/"), "id").alias("key"))
+    rows = spark.range(100_000).select(F.concat(F.lit("h/"), "id").alias("k"))
+    found = urls.in_list(rows, "k", listed, limit=3200)
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") >= 2 and "Union" in plan
+    shuffled = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+    # One for the possible hits, one for the list (its two names).
+    assert len(shuffled) <= 2
+    assert found.filter("listed").count() == 300
+
+
 # -- rollup
 
 ROWS = "doc_id long, source string, lang string, tokenizer string, n_tokens long"
@@ -163,3 +213,41 @@ def test_counts_by_version(spark):
     ways = {"v1": F.size(F.split("text", " ")), "v2": F.length("text")}
     got = {(r.doc_id, r.tokenizer, r.n_tokens) for r in rollup.counted(docs, ways).collect()}
     assert {g for g in got if g[0] == 1} == {(1, "v1", 2), (1, "v2", 3)} and (2, "v2", 0) in got
+
+
+def test_counts_by_tokenizers(spark):
+    texts = ["One text, of words.", None, "", "naïve  <|endoftext|> \n x", "One text, of words."]
+    docs = spark.createDataFrame([(i % 4, t, "s", None, 1) for i, t in enumerate(texts)], "doc_id int, text string, source string, lang string, tokenizer int")
+    path = packing.tokenizer_path()
+    library = Tokenizer.from_file(path)
+    got = rollup.counted_by(docs, {"v1": path, "v2": path})
+    want = [(i % 4, "s", None, v, len(library.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts) for v in ("v1", "v2")]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert rollup.counted_by(docs.limit(0), {"v1": path}).count() == 0
+
+
+def test_a_rename_that_fails_is_told_and_loses_nothing(spark, monkeypatch):
+    state = scratch_path(spark, "rollup")
+    rows = rollup.inserts(spark.createDataFrame([(1, "a", "en", "t", 5)], ROWS))
+    rollup.commit(state, "one", rows)
+
+    def fail(*_):
+        raise OSError("injected")
+
+    monkeypatch.setattr(files, "move", fail)
+    with pytest.raises(OSError, match="injected"):
+        rollup.commit(state, "two", rows)
+    monkeypatch.undo()
+    assert rollup.totals(spark, state).first().n_tokens == 5
+    assert rollup.commit(state, "two", rows) and rollup.totals(spark, state).first().n_tokens == 10
+
+
+def test_reads_stay_bounded_over_many_commits(spark):
+    state = scratch_path(spark, "rollup")
+    rows = spark.createDataFrame([(1, "a", "en", "t", 5), (2, None, None, "t", 1)], ROWS)
+    for k in range(11):
+        assert rollup.commit(state, f"b{k}", rollup.inserts(rows), folders=3)
+        assert len(VersionedFolder(spark, state).version().data) <= 3
+    assert not rollup.commit(state, "b0", rollup.inserts(rows), folders=3)
+    assert {(r.source, r.n_docs, r.n_tokens) for r in rollup.totals(spark, state).collect()} == {("a", 11, 55), (None, 11, 11)}
+    assert {(r.source, r.n_tokens) for r in rollup.totals(spark, state, version=4).collect()} == {("a", 20), (None, 4)}
