@@ -137,9 +137,12 @@ def bucket_edges(keyed: DataFrame, payload: DataFrame, block: int, judge: Judge)
     """Edges (u, v) that connect the classes of a bucket that `judge` finds alike.
 
     `keyed` has a row (cls, key) for each bucket a class is in, `payload` any number of equal rows for a
-    class. Only buckets with two classes are compared, and buckets with the same members once.
+    class. A column `grp` of `keyed` names what a class is known to be connected with: classes of one grp need no edge.
+    Only buckets with two of them are compared, and buckets with the same members once.
     """
-    shared = keyed.groupBy("key").agg(F.min("cls").alias("lo"), F.max("cls").alias("hi")).filter("lo < hi").select("key")
+    if "grp" not in keyed.columns:
+        keyed = keyed.withColumn("grp", F.col("cls"))
+    shared = keyed.groupBy("key").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo < hi").select("key")
     members = stored(keyed.join(broadcast_if_small(stored(shared, "shared")), "key").distinct(), "members")
     alike = (F.bit_xor(F.xxhash64("cls")).alias("h1"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("h2"))
     buckets = (
@@ -164,7 +167,7 @@ def bucket_edges(keyed: DataFrame, payload: DataFrame, block: int, judge: Judge)
                 moved = np.flatnonzero(label != np.arange(len(cls)))
                 yield pa.RecordBatch.from_arrays([pa.array(cls[moved]), pa.array(cls[label[moved]])], ["u", "v"])
 
-    return blocks.select("key", "b1", "b2", "b", "cls", *columns).mapInArrow(W.tidy(connect), "u long, v long")
+    return blocks.select("key", "b1", "b2", "b", "cls", "grp", *columns).mapInArrow(W.tidy(connect), "u long, v long")
 
 
 def link_counts(cls: np.ndarray, copies: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:

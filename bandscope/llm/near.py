@@ -2,38 +2,44 @@
 
 A text's shingles are the distinct runs of `WORDS` lower-cased words; a text of fewer words, but not none,
 has one shingle of all its words. Texts with equal sets form a class, and only classes are compared.
-Each of `TREES` trees keys a class by a path of min-hashes, cut to the longest prefix at which the chance to
-miss a pair of just the threshold similarity is below the target. That depth is the same for all classes, and
-pairs that agree on a longer prefix agree on it too, so one key a tree stands for the trie: this is banding.
-Where one min-hash a tree misses the target, there are more trees. Members of one bucket whose signatures agree well enough are
-joined into candidate groups; inside a group every pair of classes is compared exactly, once.
-
-Buckets and groups of any size are cut into blocks by hash and compared block by block; pairs are never
+Each class has a path of min-hashes in each of `TREES` tries: bytes whose order is the order of the trie, so a prefix
+of a path is a node. Classes meet at the nodes they share. The deepest nodes are matched first; then
+prefixes are shortened by one min-hash, round by round, for those classes that have not met their recall: a class
+stops at the depth at which the least similarity a partner of it can have (which follows from its number of shingles,
+and is the threshold or more) is met in some trie with a chance of `RECALL`. Classes that no partner is
+possible for take no part. What earlier rounds connected is not compared again. Where one min-hash a tree misses the
+recall, there are more trees. Members of a node whose signatures agree well enough are joined into candidate
+groups; inside a group every pair of classes is compared exactly, once.
+
+Nodes and groups of any size are cut into blocks by hash and compared block by block; pairs are never
 written out, only each class's number of links and enough links to connect it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
-from bandscope.llm.graph import bucket_edges, components, in_blocks, joined_classes, link_counts, linked_rows, whole_groups
+from bandscope.llm.graph import Judge, bucket_edges, components, in_blocks, joined_classes, link_counts, linked_rows, whole_groups
 from bandscope.session import broadcast_if_small, stored
 
 WORDS = 5
 THRESHOLD = 0.8
-TREES, DEEPEST = 24, 6
+TREES, DEEPEST = 24, 7
 RECALL = 0.9999
 # Estimates lie this many standard deviations below the threshold at most.
 DEVIATIONS = 5.5
 # Members in a block of a bucket, and classes and shingles in a block of a group, about.
 BUCKET_BLOCK = 256
-GROUP_BLOCK, GROUP_SHINGLES = 128, 1 << 20
+GROUP_BLOCK, GROUP_SHINGLES = 512, 1 << 20
+# Classes of more shingles than this may have a partner at just the threshold.
+FEW_SHINGLES = 400
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -51,9 +57,9 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray,
     return np.concatenate(rows) if rows else hashes[:0], bounds
 
 
-def class_ids(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """A 64-bit id for each set, the same for equal sets; 0 for the empty one."""
-    total = np.append(np.uint64(0), np.cumsum(W.mix(sets ^ W.BASE)))
+def class_ids(sets: np.ndarray, bounds: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit id for each set, the same for equal sets; 0 for the empty one. Another seed gives independent ids."""
+    total = np.append(np.uint64(0), np.cumsum(W.mix(sets ^ (W.BASE + np.uint64(2 * seed)))))
     ids = W.mix((total[bounds[1:]] - total[bounds[:-1]]) + np.diff(bounds).astype(np.uint64) * W.BASE)
     return np.where(np.diff(bounds) > 0, ids, 0).view(np.int64)
 
@@ -76,6 +82,29 @@ def forest(threshold: float) -> tuple[int, int]:
     return trees, prefix_depth(threshold, trees)
 
 
+def least_similarity(n: int, threshold: float) -> float | None:
+    """The smallest similarity of `threshold` or more that a set of n has with any other set; None if there is none."""
+    if n > FEW_SHINGLES:
+        return threshold
+    best = None
+    for m in range(max(1, math.floor(threshold * n)), math.ceil(n / threshold) + 1):
+        both = math.ceil(threshold * (n + m) / (1 + threshold) - 1e-9)
+        if both <= min(n, m) and not both == n == m:
+            found = both / (n + m - both)
+            best = found if best is None else min(best, found)
+    return best
+
+
+def stop_depths(threshold: float, trees: int, deepest: int) -> np.ndarray:
+    """For sets of 0, 1, ... FEW_SHINGLES and more shingles the depth at which their recall is met; beyond the deepest: no part."""
+    out = np.full(FEW_SHINGLES + 2, deepest + 1, np.int32)
+    for n in range(1, FEW_SHINGLES + 2):
+        least = least_similarity(n, threshold)
+        if least is not None:
+            out[n] = prefix_depth(min(1.0, max(least, threshold)), trees, deepest)
+    return out
+
+
 def signatures(sets: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
     """n min-hashes for each non-empty set."""
     some = bounds[:-1][np.diff(bounds) > 0]
@@ -89,61 +118,104 @@ def signatures(sets: np.ndarray, bounds: np.ndarray, n: int) -> np.ndarray:
 
 
 def signed(docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFrame:
-    """For every row doc_id, th (hash of the text), cls, n (shingles), keys (one a tree) and sig (one byte a min-hash)."""
-    trees, depth = forest(threshold)
+    """For every row doc_id, th (hash of the text), cls and cls2, n (shingles), stop (depth), paths (of all trees) and sig (one byte a min-hash)."""
+    trees, _ = forest(threshold)
+    deepest = DEEPEST if trees == TREES else 1
+    stops = stop_depths(threshold, trees, deepest)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        salt = W.mix(np.arange(1, trees + 1, dtype=np.uint64))
         for batch in batches:
             for part in W.slices(batch, "text"):
                 _, _, hashes, first = W.words(W.column(part.column("text")))
                 sets, bounds = shingles(hashes, first, WORDS)
-                some = np.diff(bounds) > 0
+                n = np.diff(bounds)
                 # More trees than usual are one min-hash deep.
                 made = signatures(sets, bounds, max(trees, TREES * DEEPEST))
-                keys = np.zeros((len(made), trees), np.uint64)
-                for d in range(depth):
-                    keys = W.mix(keys * W.BASE + (made[:, d : TREES * DEEPEST : DEEPEST] if trees == TREES else made[:, :trees]))
-                keys = np.ascontiguousarray(W.mix(keys ^ salt)).view(np.int64)
-                sizes = some.astype(np.int32) * trees
+                paths = made[:, : trees * deepest].astype(">u4")
                 sig = made[:, : TREES * DEEPEST].astype(np.uint8)
-                own = iter(sig)
+                row = np.cumsum(n > 0) - 1
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         part.column("th"),
                         pa.array(class_ids(sets, bounds)),
-                        pa.array(np.diff(bounds)),
-                        pa.ListArray.from_arrays(np.append(0, np.cumsum(sizes)).astype(np.int32), keys.ravel()),
-                        pa.array([next(own).tobytes() if s else b"" for s in some], pa.binary()),
+                        pa.array(class_ids(sets, bounds, 1)),
+                        pa.array(n),
+                        pa.array(stops[np.minimum(n, FEW_SHINGLES + 1)]),
+                        pa.array([paths[r].tobytes() if s else b"" for r, s in zip(row, n > 0, strict=True)], pa.binary()),
+                        pa.array([sig[r].tobytes() if s else b"" for r, s in zip(row, n > 0, strict=True)], pa.binary()),
                     ],
-                    ["doc_id", "th", "cls", "n", "keys", "sig"],
+                    ["doc_id", "th", "cls", "cls2", "n", "stop", "paths", "sig"],
                 )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).alias("text"))
-    return rows.mapInArrow(W.tidy(sign), "doc_id long, th long, cls long, n long, keys array<long>, sig binary")
+    return rows.mapInArrow(W.tidy(sign), "doc_id long, th long, cls long, cls2 long, n long, stop int, paths binary, sig binary")
+
+
+def told_apart(sig: DataFrame) -> DataFrame:
+    """`sig` with classes told by both hashes, 128 bits: sets that share the first one get an id of both."""
+    shared = sig.groupBy("cls").agg(F.min("cls2").alias("lo"), F.max("cls2").alias("hi")).filter("lo < hi").select("cls")
+    shared = stored(shared, "shared-ids")
+    if shared.isEmpty():
+        return sig
+    marked = broadcast_if_small(shared.withColumn("again", F.lit(True)))
+    both = F.when(F.col("again"), F.xxhash64("cls", "cls2")).otherwise(F.col("cls"))
+    return stored(sig.join(marked, "cls", "left").withColumn("cls", both).drop("again"), "signed")
+
 
+def nodes_at(depth: int, trees: int, deepest: int) -> Column:
+    """The node of each tree that a class's path passes at a depth, as a hash of the tree and the prefix."""
+    prefix = lambda t: F.substring("paths", t * deepest * 4 + 1, depth * 4)
+    return F.array(*(F.xxhash64(F.lit(t), prefix(t)) for t in range(trees)))
 
-def candidate_edges(sig: DataFrame, threshold: float) -> DataFrame:
-    """Edges (u, v) that connect all classes of a bucket whose signatures make the threshold likely enough."""
+
+def judged(threshold: float) -> Judge:
+    """Pairs of a node whose signatures make the threshold likely enough, but for those of one grp."""
     n = TREES * DEEPEST
     need = threshold - DEVIATIONS * (threshold * (1 - threshold) / n) ** 0.5
 
     def judge(table: pa.Table):
         bytes_ = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, n)
+        grp = table.column("grp").to_numpy()
 
-        def linked(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        def compared(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             for at in range(0, len(x), 32):
                 some = x[at : at + 32]
                 # By chance one byte in 256 agrees, which only adds candidates.
                 equal = (bytes_[some][:, None, :] == bytes_[y][None]).sum(2, dtype=np.int32)
-                a, b = np.nonzero(equal >= need * n)
+                a, b = np.nonzero((equal >= need * n) & (grp[some][:, None] != grp[y][None]))
                 yield some[a], y[b]
 
+        def linked(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            # Inside the largest grp there is nothing to find.
+            names, sizes = np.unique(grp[np.union1d(x, y)], return_counts=True)
+            if len(names) > 1:
+                most = names[sizes.argmax()]
+                yield from compared(x[grp[x] != most], y)
+                yield from compared(x[grp[x] == most], y[grp[y] != most])
+
         return linked
 
-    some = sig.filter("n > 0")
-    return bucket_edges(some.select("cls", F.explode("keys").alias("key")), some.select("cls", "sig"), BUCKET_BLOCK, judge)
+    return judge
+
+
+def candidate_groups(sig: DataFrame, threshold: float) -> DataFrame:
+    """(node, component) of the classes that may be linked with another, found from the deepest prefixes to the shortest."""
+    trees, depth = forest(threshold)
+    deepest = DEEPEST if trees == TREES else 1
+    groups = None
+    for at in range(deepest, depth - 1, -1):
+        here = sig.filter(F.col("stop") <= at).withColumn("grp", F.col("cls"))
+        if groups is not None:
+            here = here.join(broadcast_if_small(groups), F.col("cls") == F.col("node"), "left").withColumn("grp", F.coalesce("component", "cls"))
+        keyed = here.select("cls", "grp", F.explode(nodes_at(at, trees, deepest)).alias("key"))
+        edges = stored(bucket_edges(keyed, here.select("cls", "sig"), BUCKET_BLOCK, judged(threshold)), "met")
+        if groups is not None:
+            if edges.isEmpty():
+                continue
+            edges = edges.unionByName(groups.select(F.col("node").alias("u"), F.col("component").alias("v")))
+        groups = stored(components(edges), "groups")
+    return groups
 
 
 def intersections(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +250,7 @@ def verified(docs: DataFrame, sig: DataFrame, groups: DataFrame, threshold: floa
     classes = stored(
         sig.join(broadcast_if_small(groups), sig["cls"] == groups["node"])
         .groupBy("cls", "component")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n")),
+        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n"), F.min("cls2").alias("cls2")),
         "classes",
     )
     sizes = classes.groupBy("component").agg(
@@ -186,7 +258,7 @@ def verified(docs: DataFrame, sig: DataFrame, groups: DataFrame, threshold: floa
     )
     few = broadcast_if_small(stored(classes.join(sizes, "component"), "grouped"))
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    rows = texts.join(few, F.col("id").eqNullSafe(F.col("rep"))).select("component", "cls", "copies", "text", "blocks")
+    rows = texts.join(few, F.col("id").eqNullSafe(F.col("rep"))).select("component", "cls", "cls2", "copies", "text", "blocks")
     blocks = in_blocks(rows, "component", "cls", "blocks")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,7 +268,7 @@ def verified(docs: DataFrame, sig: DataFrame, groups: DataFrame, threshold: floa
             _, _, hashes, first = W.words(W.column(table.column("text")))
             sets, bounds = shingles(hashes, first, WORDS)
             # Another text may have the representative's id.
-            own = class_ids(sets, bounds) == cls
+            own = class_ids(sets, bounds, 1) == table.column("cls2").to_numpy()
 
             def linked(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 x, y = x[own[x]], y[own[y]]
@@ -211,13 +283,13 @@ def verified(docs: DataFrame, sig: DataFrame, groups: DataFrame, threshold: floa
             for left, right in linked_rows(table, "component", linked):
                 yield link_counts(cls, copies, left, right)
 
-    return blocks.select("component", "b1", "b2", "b", "cls", "copies", "text").mapInArrow(W.tidy(compare), "cls long, links long, root long")
+    return blocks.select("component", "b1", "b2", "b", "cls", "cls2", "copies", "text").mapInArrow(W.tidy(compare), "cls long, links long, root long")
 
 
 def grouped_rows(docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFrame:
     """The columns of `jaccard_join` and `component`: one value for each group, null for rows linked with nothing."""
-    sig = stored(signed(docs, threshold, doc_id, text), "signed")
-    groups = stored(components(candidate_edges(sig, threshold)), "groups")
+    sig = told_apart(stored(signed(docs, threshold, doc_id, text), "signed"))
+    groups = candidate_groups(sig, threshold)
     found = stored(verified(docs, sig, groups, threshold, doc_id, text), "links")
     many = joined_classes(sig.filter("n > 0").select("doc_id", "cls"), found)
     # A row whose class has no other is its own class.

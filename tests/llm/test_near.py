@@ -2,6 +2,7 @@ import random
 
 import pytest
 from helpers import joined, shingles_of
+from pyspark.sql import functions as F
 
 from bandscope.llm import graph, near
 
@@ -109,6 +110,63 @@ def test_low_thresholds_get_trees_until_the_recall_is_met():
             near.forest(threshold)
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 0.9])
+def test_least_similarity_of_small_sets(threshold):
+    for n in range(1, 30):
+        shares = [i / (n + m - i) for m in range(1, 80) for i in range(1, min(n, m) + 1) if not i == n == m]
+        want = min((s for s in shares if s >= threshold - 1e-12), default=None)
+        assert near.least_similarity(n, threshold) == (want if want is None else pytest.approx(want))
+
+
+def test_classes_stop_at_different_depths(spark):
+    """Three shingles have no partner at 0.8, six none below 5 / 6, eight one at just 0.8."""
+    stops = near.stop_depths(0.8, near.TREES, near.DEEPEST)
+    assert (stops[3], stops[6], stops[8], stops[near.FEW_SHINGLES + 1]) == (near.DEEPEST + 1, 6, 5, 5)
+    words = lambda n: " ".join(f"v{i}" for i in range(n + 4))
+    rows = [(n, words(n)) for n in (3, 6, 8, 300)]
+    sig = {r.doc_id: r.stop for r in near.signed(frame(spark, rows), 0.8, "doc_id", "text").collect()}
+    assert sig == {3: near.DEEPEST + 1, 6: 6, 8: 5, 300: 5}
+    assert found(frame(spark, rows)) == expected(rows)
+
+
+def test_prefixes_of_paths_are_nodes(spark):
+    """Paths sort as the trie does, and classes share a node at a depth if their paths share that prefix."""
+    sig = near.signed(frame(spark, [(i, f"a b c d e f g h {'i j k l m n o p q r'[: 2 * i]}") for i in range(9)]), 0.8, "doc_id", "text")
+    for depth in (1, 3, near.DEEPEST):
+        rows = sig.select("paths", near.nodes_at(depth, near.TREES, near.DEEPEST).alias("nodes")).collect()
+        step = 4 * near.DEEPEST
+        for a in rows:
+            for b in rows:
+                for t in range(near.TREES):
+                    same = a.paths[step * t : step * t + 4 * depth] == b.paths[step * t : step * t + 4 * depth]
+                    assert (a.nodes[t] == b.nodes[t]) == same
+
+
+def test_recall_at_several_thresholds(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        words = [f"g{i}_{k}" for k in range(60)]
+        rows.append((2 * i, " ".join(words)))
+        for k in rng.sample(range(60), i % 7):
+            words[k] = f"x{i}_{k}"
+        rows.append((2 * i + 1, " ".join(words)))
+    for threshold in (0.5, 0.7, 0.8):
+        want, got = expected(rows, threshold), found(frame(spark, rows), threshold=threshold)
+        links = sum(n for _, _, n in want)
+        assert links > 20 and sum(n for _, _, n in got) >= 0.99 * links
+        assert all(g[2] <= w[2] for g, w in zip(got, want, strict=True))
+
+
+def test_sets_that_share_a_hash_stay_apart(spark, monkeypatch):
+    """With a first hash that takes few values, classes are told apart by the second."""
+    rows = [(i, " ".join(f"t{i}_{k}" for k in range(30))) for i in range(20)] + [(100, " ".join(f"t3_{k}" for k in range(30)))]
+    sig = near.signed(frame(spark, rows), 0.8, "doc_id", "text").withColumn("cls", F.lit(5).cast("long") + F.col("cls") % 2)
+    apart = near.told_apart(sig)
+    assert apart.select("cls").distinct().count() == 20
+    assert apart.filter("doc_id IN (3, 100)").select("cls").distinct().count() == 1
+
+
 def test_all_links_at_a_low_threshold(spark):
     rows = []
     for i in range(40):

@@ -19,8 +19,11 @@ ODD = [
 ]
 
 
+LIBRARY = Tokenizer.from_file(PATH)
+
+
 def ids_of(text):
-    return Tokenizer.from_file(PATH).encode(text, add_special_tokens=False).ids
+    return LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 def test_chunks_give_the_ids_of_whole_texts():
