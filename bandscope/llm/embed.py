@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
-from bandscope.llm.graph import bucket_edges, components, in_blocks, joined_classes, link_counts, linked_rows, whole_groups
+from bandscope.llm.graph import bucket_edges, components, in_blocks, joined_classes, link_counts, linked_rows, told_apart, whole_groups
 from bandscope.session import broadcast_if_small, stored
 
 THRESHOLD = 0.98
@@ -32,6 +33,7 @@ BUCKET_BLOCK, GROUP_BLOCK = 256, 256
 SEED = 20240229
 
 
+@lru_cache(maxsize=256)
 def rotation(size: int, number: int) -> np.ndarray:
     """A random rotation of vectors of this size, always the same for the same number."""
     q, r = np.linalg.qr(np.random.default_rng((SEED, size, number)).standard_normal((size, size)))
@@ -62,7 +64,6 @@ def coded(rows: DataFrame, bits: int, trees: int) -> DataFrame:
     """
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rotations: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
             column = batch.column("vector")
             sizes = np.diff(np.asarray(column.offsets))
@@ -70,10 +71,7 @@ def coded(rows: DataFrame, bits: int, trees: int) -> DataFrame:
                 some = batch.filter(pa.array(sizes == size))
                 x = unit(some.column("vector").flatten().to_numpy().reshape(some.num_rows, size))
                 need = max(ROTATIONS, -(-trees * bits // int(size)))
-                for r in range(need):
-                    if (int(size), r) not in rotations:
-                        rotations[int(size), r] = rotation(int(size), r)
-                turned = [x @ rotations[int(size), r].T for r in range(need)]
+                turned = [x @ rotation(int(size), r).T for r in range(need)]
                 factors = np.stack([np.abs(t).sum(1) / math.sqrt(size) for t in turned[:ROTATIONS]], 1)
                 signs = np.concatenate(turned, 1) > 0
                 codes = np.packbits(signs[:, : ROTATIONS * size], axis=1)
@@ -96,36 +94,54 @@ def coded(rows: DataFrame, bits: int, trees: int) -> DataFrame:
     return rows.mapInArrow(W.tidy(code), "doc_id long, cls long, vector binary, code binary, keys array<long>")
 
 
-def possible(codes: list[bytes], vectors: np.ndarray, x: np.ndarray, y: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places in x and y of the pairs whose estimated inner product may reach the threshold."""
+@lru_cache(maxsize=16)
+def rotations(size: int) -> np.ndarray:
+    """All rotations of vectors of this size side by side, as `possible` multiplies by them."""
+    return np.concatenate([rotation(size, r).T for r in range(ROTATIONS)], 1).astype(np.float32)
+
+
+def possible(codes: np.ndarray, vectors: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in codes, in vectors) of the pairs whose estimated inner product may reach the threshold.
+
+    codes has a code of bytes in each row. The estimate is taken in single precision, whose error of some 1e-6 is added to the bound.
+    """
     size = vectors.shape[1]
     packed = -(-ROTATIONS * size // 8)
-    raw = np.frombuffer(b"".join(codes[i] for i in x), np.uint8).reshape(len(x), -1)
-    factors = np.ascontiguousarray(raw[:, packed:]).view(np.float64)
-    signs = np.unpackbits(raw[:, :packed], axis=1, count=ROTATIONS * size).astype(np.float64) * 2 - 1
-    signs = (signs.reshape(len(x), ROTATIONS, size) / (factors * math.sqrt(size) * ROTATIONS)[:, :, None]).reshape(len(x), -1)
-    turned = np.concatenate([vectors[y] @ rotation(size, r).T for r in range(ROTATIONS)], 1)
+    factors = np.ascontiguousarray(codes[:, packed:]).view(np.float64)
+    signs = np.unpackbits(codes[:, :packed], axis=1, count=ROTATIONS * size).astype(np.float32)
+    signs *= 2
+    signs -= 1
+    signs.reshape(len(codes), ROTATIONS, size)[:] /= (factors * math.sqrt(size) * ROTATIONS)[:, :, None]
     spread = np.sqrt(np.maximum(0, 1 / factors**2 - 1).sum(1)) / (ROTATIONS * math.sqrt(max(1, size - 1)))
-    return np.nonzero(signs @ turned.T + (DEVIATIONS * spread)[:, None] >= threshold)
+    estimate = signs @ (vectors.astype(np.float32) @ rotations(size)).T
+    return np.nonzero(estimate >= (threshold - 1e-4 - DEVIATIONS * spread)[:, None])
 
 
 def judged(table: pa.Table, threshold: float, exact: bool):
     """Linked positions: by bounds alone, or with an exact computation of what the bounds leave open."""
     codes, cells = table.column("code").to_pylist(), table.column("vector").to_pylist()
+    sizes = np.array([len(c) for c in cells], np.int64)
+    # Vectors and codes of one length as one matrix, and the row of each position in it.
+    row, held = np.zeros(len(cells), np.int64), {}
+    for size in np.unique(sizes).tolist():
+        own = np.flatnonzero(sizes == size)
+        row[own] = np.arange(len(own))
+        held[size] = (
+            np.frombuffer(b"".join(cells[i] for i in own), np.float64).reshape(len(own), -1),
+            np.frombuffer(b"".join(codes[i] for i in own), np.uint8).reshape(len(own), -1),
+        )
 
     def linked(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for size in sorted({len(cells[i]) for i in (*x, *y)}):
-            p, q = (np.array([i for i in z if len(cells[i]) == size], np.int64) for z in (x, y))
-            if not len(p) or not len(q):
+        for size in np.unique(sizes[x]).tolist():
+            p, q = x[sizes[x] == size], y[sizes[y] == size]
+            if not len(q):
                 continue
-            vectors = np.zeros((len(cells), size // 8))
-            for i in {*p.tolist(), *q.tolist()}:
-                vectors[i] = np.frombuffer(cells[i], np.float64)
-            a, b = possible(codes, vectors, p, q, threshold)
+            vectors, signs = held[size]
+            a, b = possible(signs[row[p]], vectors[row[q]], threshold)
             if exact and len(a):
                 for at in range(0, len(a), 1 << 14):
                     s, t = p[a[at : at + (1 << 14)]], q[b[at : at + (1 << 14)]]
-                    keep = (vectors[s] * vectors[t]).sum(1) >= threshold
+                    keep = (vectors[row[s]] * vectors[row[t]]).sum(1) >= threshold
                     yield s[keep], t[keep]
             else:
                 yield p[a], q[b]
@@ -152,8 +168,10 @@ def near_embeddings(
         F.coalesce(fit, F.lit(False)).alias("fit"),
         F.xxhash64(label, F.lit("group")).alias("group"),
         F.when(fit, F.xxhash64(label, embedding)).alias("cls"),
+        F.when(fit, F.xxhash64(embedding, label, F.lit("again"))).alias("cls2"),
         F.col(embedding).cast("array<double>").alias("vector"),
     )
+    rows = told_apart(rows)
     live = rows.filter("fit")
     bits, trees = bucket_plan(live.count(), threshold, recall)
     made = stored(coded(live.select("doc_id", "group", "cls", "vector"), bits, trees), "coded")

@@ -41,6 +41,20 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
+def told_apart(rows: DataFrame) -> DataFrame:
+    """`rows` with classes told by two hashes, 128 bits: things that share `cls` but not `cls2` get an id of both.
+
+    Null classes are left alone. Where no class is shared, which is nearly always, the rows come back as they are.
+    """
+    shared = rows.groupBy("cls").agg(F.min("cls2").alias("lo"), F.max("cls2").alias("hi")).filter("lo < hi").select("cls")
+    shared = stored(shared, "shared-ids")
+    if shared.isEmpty():
+        return rows
+    marked = broadcast_if_small(shared.withColumn("again", F.lit(True)))
+    both = F.when(F.col("again"), F.xxhash64("cls", "cls2")).otherwise(F.col("cls"))
+    return stored(rows.join(marked, "cls", "left").withColumn("cls", both).drop("again"), "told-apart")
+
+
 def in_blocks(members: DataFrame, group: str, member: str, blocks: str) -> DataFrame:
     """Rows of `members` for every pair of blocks of their group, with b1 <= b2 and their own block b.
 

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
-from bandscope.llm.graph import Judge, bucket_edges, components, in_blocks, joined_classes, link_counts, linked_rows, whole_groups
+from bandscope.llm.graph import Judge, bucket_edges, components, in_blocks, joined_classes, link_counts, linked_rows, told_apart, whole_groups
 from bandscope.session import broadcast_if_small, stored
 
 WORDS = 5
@@ -152,17 +152,6 @@ def signed(docs: DataFrame, threshold: float, doc_id: str, text: str) -> DataFra
     return rows.mapInArrow(W.tidy(sign), "doc_id long, th long, cls long, cls2 long, n long, stop int, paths binary, sig binary")
 
 
-def told_apart(sig: DataFrame) -> DataFrame:
-    """`sig` with classes told by both hashes, 128 bits: sets that share the first one get an id of both."""
-    shared = sig.groupBy("cls").agg(F.min("cls2").alias("lo"), F.max("cls2").alias("hi")).filter("lo < hi").select("cls")
-    shared = stored(shared, "shared-ids")
-    if shared.isEmpty():
-        return sig
-    marked = broadcast_if_small(shared.withColumn("again", F.lit(True)))
-    both = F.when(F.col("again"), F.xxhash64("cls", "cls2")).otherwise(F.col("cls"))
-    return stored(sig.join(marked, "cls", "left").withColumn("cls", both).drop("again"), "signed")
-
-
 def nodes_at(depth: int, trees: int, deepest: int) -> Column:
     """The node of each tree that a class's path passes at a depth, as a hash of the tree and the prefix."""
     prefix = lambda t: F.substring("paths", t * deepest * 4 + 1, depth * 4)

@@ -162,7 +162,7 @@ def test_sets_that_share_a_hash_stay_apart(spark, monkeypatch):
     """With a first hash that takes few values, classes are told apart by the second."""
     rows = [(i, " ".join(f"t{i}_{k}" for k in range(30))) for i in range(20)] + [(100, " ".join(f"t3_{k}" for k in range(30)))]
     sig = near.signed(frame(spark, rows), 0.8, "doc_id", "text").withColumn("cls", F.lit(5).cast("long") + F.col("cls") % 2)
-    apart = near.told_apart(sig)
+    apart = graph.told_apart(sig)
     assert apart.select("cls").distinct().count() == 20
     assert apart.filter("doc_id IN (3, 100)").select("cls").distinct().count() == 1
 
