@@ -26,7 +26,10 @@ from bandscope.llm.labelled import LABELLED
 KINDS = ("email", "ip", "card", "phone")
 REACH = 3
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
-CUES = frozenset("email mail e-mail write phone call tel fax mobile card visa number ip host server address at dot".split())
+CUES = frozenset(
+    "email mail e-mail write phone call tel fax mobile card visa number ip host server address at dot"
+    " telefon handy unter rufen schreiben karte téléphone appelez écrivez teléfono llame tarjeta".split()
+)
 
 # Lookbehinds keep the scan linear in long runs of digits: a match that fails at the start of a run fails inside it too.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
