@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and a linear-chain conditional random field that adds spans.
 
-The field labels the tokens (runs without white space) around digits, at signs and cue words. Its sequences
-are the longest runs of tokens that lie within `REACH` tokens of one that is a cue word or has a digit of any
-script or an at sign; tokens elsewhere are outside by definition. Features are shapes of the token and its neighbours and a few cue
-words. It is trained on a small labelled table (`labelled.LABELLED` unless another is given) and decoded by
-Viterbi in numpy, many sequences at a time. Every document is handled alone: nothing is shuffled.
+The field labels every token (run without white space) of the whole text. Features are shapes of the token and its neighbours and a
+few cue words, so tokens fall into a few hundred kinds, and most are plain words among plain words. It is
+trained on a small labelled table (`labelled.LABELLED` unless another is given) and decoded by Viterbi in
+numpy, many texts at a time. Long runs of plain words are decoded as shorter ones: a fitted field tells from which length on
+one word more changes nothing but adds a word outside of spans (`settling`), which is checked and not assumed.
+Every document is handled alone: nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from bandscope.llm.columns import put_back, set_aside
 from bandscope.llm.labelled import LABELLED
 
 KINDS = ("email", "ip", "card", "phone")
-REACH = 3
 TAGS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 CUES = frozenset(
     "email mail e-mail write phone call tel fax mobile card visa number ip host server address at dot"
@@ -38,7 +38,9 @@ IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 TOKEN = re.compile(r"[^ \t\n\r\f\v]+")
-MARK = re.compile(r"[\d@]")
+# A plain word; runs of them are tried for shortening up to LONGEST_RUN. Tokens a worker remembers; cells of one Viterbi table.
+PLAIN, LONGEST_RUN = "word", 64
+REMEMBERED, CELLS = 1 << 18, 1 << 18
 DIGIT = re.compile(r"[0-9]")
 NUMERAL = re.compile(r"\d")
 EDGES = ".,;:!?()[]<>\"'"
@@ -125,6 +127,11 @@ class Field:
     transition: np.ndarray
     initial: np.ndarray
 
+    def share(self, features: tuple[str, ...], place: str) -> np.ndarray:
+        """What a token of these features adds to the scores of itself (0), of the one after (-) or before (+) it."""
+        rows = [self.index[place + f] for f in features if place + f in self.index]
+        return self.emission[rows].sum(0)
+
     def scores(self, sequence: list[str]) -> np.ndarray:
         out = np.zeros((len(sequence), len(TAGS)))
         for i, found in enumerate(sequence_features(sequence)):
@@ -133,6 +140,83 @@ class Field:
         return out
 
 
+class Kinds:
+    """Tokens by kind, those of equal features, and the scores of whole texts from the kinds of their tokens."""
+
+    def __init__(self, field: Field):
+        self.field = field
+        self.known: dict[str, int] = {}
+        self.numbers: dict[tuple[str, ...], int] = {}
+        # Row 0 stands for the edge of a text.
+        self.shares = {place: [field.share(("edge",), place)] for place in "0-+"}
+        self.tables = [np.zeros((0, len(TAGS)))] * 3
+        self.plain = self.number(token_features(PLAIN))
+        self.settled = settling(field, self.scores(np.full(3, self.plain))[1])
+
+    def number(self, features: tuple[str, ...]) -> int:
+        if features not in self.numbers:
+            self.numbers[features] = len(self.shares["0"])
+            for place, rows in self.shares.items():
+                rows.append(self.field.share(features, place))
+        return self.numbers[features]
+
+    def of(self, tokens: list[str]) -> np.ndarray:
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        for token in set(tokens).difference(self.known):
+            core = token.strip(".,;:!?")
+            # Letters with stops around them have the features of any word, unless they are a cue.
+            word = core.isalpha() and core.lower() not in CUES
+            self.known[token] = self.plain if word else self.number(token_features(token))
+        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+
+    def scores(self, kinds: np.ndarray, at: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """Scores of the tokens at some places of a text."""
+        before, after = np.append(0, kinds[:-1]), np.append(kinds[1:], 0)
+        if len(self.tables[0]) < len(self.shares["0"]):
+            self.tables = [np.array(self.shares[place]) for place in "0-+"]
+        own, earlier, later = self.tables
+        return own[kinds[at]] + earlier[before[at]] + later[after[at]]
+
+    def needed(self, kinds: np.ndarray) -> np.ndarray:
+        """Places of the tokens to decode: all but the middle of long runs of plain words among plain words."""
+        if self.settled is None:
+            return np.arange(len(kinds))
+        plain = np.concatenate(([False], kinds == self.plain, [False]))
+        same = np.concatenate(([False], plain[:-2] & plain[1:-1] & plain[2:], [False])).astype(np.int8)
+        turns = np.flatnonzero(np.diff(same))
+        keep = np.ones(len(kinds), bool)
+        half = self.settled // 2
+        for begin, end in zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True):
+            if end - begin > self.settled:
+                keep[begin + half : end - (self.settled - half)] = False
+        return np.flatnonzero(keep)
+
+
+def settling(field: Field, score: np.ndarray) -> int | None:
+    """The length from which on a run of tokens of this score is like one of one token less, with a token outside more.
+
+    M ** r in (max, +) holds the best ways through r such tokens. If M ** (r + 1) = M ** r + the score of staying
+    outside, it is so for all lengths beyond, by multiplying with M again; and if each best way of r steps is outside in its
+    middle, a further token may be put in there. None if there is no such r up to LONGEST_RUN.
+    """
+    step = field.transition + score[None, :]
+    stay = step[0, 0]
+    ways, mids = step, [step]
+    for r in range(1, LONGEST_RUN):
+        after = (ways[:, :, None] + step[None]).max(1)
+        live = after > -5e3
+        if r >= 4 and np.abs(after - ways - stay)[live].max(initial=0.0) < 1e-9 and (ways[live] > -5e3).all():
+            # The best ways through O after half of the steps, against all ways.
+            half = r // 2
+            through = mids[half - 1][:, :1] + mids[r - half - 1][:1]
+            if (np.abs(through - ways)[ways > -5e3] < 1e-9).all():
+                return r
+        ways = after
+        mids.append(ways)
+    return None
+
+
 def allowed() -> tuple[np.ndarray, np.ndarray]:
     """Inside tags follow a tag of their own kind only. 0 where allowed, else very low."""
     t = np.zeros((len(TAGS), len(TAGS)))
@@ -213,11 +297,16 @@ def train(rows: list[str], steps: int = 250, rate: float = 0.1, l2: float = 0.02
 
 
 def viterbi(field: Field, scores: list[np.ndarray], at_once: int = 256) -> list[np.ndarray]:
-    """The best tags of each sequence; sequences of like length are decoded together."""
+    """The best tags of each sequence; sequences of like length are decoded together, in tables of bounded size."""
     out: list[np.ndarray] = [np.zeros(0, int)] * len(scores)
-    order = sorted(range(len(scores)), key=lambda i: len(scores[i]))
-    for begin in range(0, len(order), at_once):
-        group = order[begin : begin + at_once]
+    order = sorted((i for i in range(len(scores)) if len(scores[i])), key=lambda i: len(scores[i]))
+    begin = 0
+    while begin < len(order):
+        end = begin + 1
+        while end < min(len(order), begin + at_once) and (end - begin + 1) * len(scores[order[end]]) <= CELLS:
+            end += 1
+        group = order[begin:end]
+        begin = end
         sizes = np.array([len(scores[i]) for i in group])
         longest = int(sizes.max(initial=0))
         e = np.zeros((len(group), longest, len(TAGS)))
@@ -240,50 +329,40 @@ def viterbi(field: Field, scores: list[np.ndarray], at_once: int = 256) -> list[
     return out
 
 
-def sequences(text: str) -> list[list[tuple[int, int]]]:
-    """Token spans of each sequence of a text."""
-    spans = [m.span() for m in TOKEN.finditer(text)]
-    marked = np.array([MARK.search(text, a, b) is not None or text[a:b].lower().strip(EDGES) in CUES for a, b in spans], bool)
-    near = np.zeros(len(spans) + 1, int)
-    for i in np.flatnonzero(marked):
-        near[max(0, i - REACH)] += 1
-        near[min(len(spans), i + REACH + 1)] -= 1
-    inside = np.flatnonzero(np.cumsum(near)[:-1] > 0)
-    return [[spans[i] for i in run] for run in np.split(inside, np.flatnonzero(np.diff(inside) > 1) + 1) if len(run)]
-
-
-def added_spans(text: str, runs: list[list[tuple[int, int]]], tags: list[np.ndarray], base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Spans of the tags, without stops and quotes around them, where they meet no base span."""
+def added_spans(text: str, tags: np.ndarray, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Spans of the tags of all tokens, without stops and quotes around them, where they meet no base span."""
     out = []
-    for run, tagged in zip(runs, tags, strict=True):
-        at = 0
-        while at < len(run):
-            if not tagged[at]:
-                at += 1
-                continue
-            end = at + 1
-            while end < len(run) and TAGS[tagged[end]][0] == "I":
-                end += 1
-            a, b = run[at][0], run[end - 1][1]
-            while b > a and text[b - 1] in ".,;:!?\"'>]":
-                b -= 1
-            while a < b and text[a] in "\"'<[,;:":
-                a += 1
-            if a < b and not any(x < b and a < y for x, y, _ in base):
-                out.append((a, b, TAGS[tagged[at]][2:]))
-            at = end
+    run = [m.span() for m in TOKEN.finditer(text)]
+    at = 0
+    for at in np.flatnonzero(tags).tolist():
+        if TAGS[tags[at]][0] == "I":
+            continue
+        end = at + 1
+        while end < len(run) and TAGS[tags[end]][0] == "I":
+            end += 1
+        a, b = run[at][0], run[end - 1][1]
+        while b > a and text[b - 1] in ".,;:!?\"'>]":
+            b -= 1
+        while a < b and text[a] in "\"'<[,;:":
+            a += 1
+        if a < b and not any(x < b and a < y for x, y, _ in base):
+            out.append((a, b, TAGS[tags[at]][2:]))
     return out
 
 
-def find_batch(texts: list[str], field: Field) -> list[list[tuple[int, int, str, bool]]]:
+def find_batch(texts: list[str], kinds: Kinds) -> list[list[tuple[int, int, str, bool]]]:
     """Spans (start, end, kind, base) of each text, by start, then kind as listed."""
-    base = [base_spans(t) for t in texts]
-    runs = [sequences(t) for t in texts]
-    scores = [field.scores([t[a:b] for a, b in run]) for t, own in zip(texts, runs, strict=True) for run in own]
-    decoded = iter(viterbi(field, scores))
+    found = [kinds.of(TOKEN.findall(t)) for t in texts]
+    needed = [kinds.needed(f) for f in found]
+    decoded = viterbi(kinds.field, [kinds.scores(f, at) for f, at in zip(found, needed, strict=True)])
     out = []
-    for text, own, known in zip(texts, runs, base, strict=True):
-        more = added_spans(text, own, [next(decoded) for _ in own], known)
+    for text, own, at, part in zip(texts, found, needed, decoded, strict=True):
+        known = base_spans(text)
+        more = []
+        if part.any():
+            tags = np.zeros(len(own), int)
+            tags[at] = part
+            more = added_spans(text, tags, known)
         spans = [(a, b, k, True) for a, b, k in known] + [(a, b, k, False) for a, b, k in more]
         out.append(sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1])))
     return out
@@ -315,13 +394,13 @@ def find_pii(docs: DataFrame, rows: list[str] = LABELLED, text: str = "text", re
     place = kept.index(text)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = shared.value
+        kinds = Kinds(shared.value)
         for batch in batches:
             for part in W.slices(batch, text):
                 col = W.column(part.column(text))
                 some = np.flatnonzero(np.diff(col.offsets))
                 texts = [col.text(i) for i in some]
-                found = find_batch(texts, field)
+                found = find_batch(texts, kinds)
                 spans: list[list[dict]] = [[] for _ in range(part.num_rows)]
                 for i, own in zip(some, found, strict=True):
                     spans[i] = [{"kind": k, "start": a, "end": b, "base": p} for a, b, k, p in own]
