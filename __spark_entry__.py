@@ -238,6 +238,11 @@ def analysis_sql() -> dict[str, str]:
         "published_versions": f"""WITH {MART}
             SELECT *, '1' AS version FROM mart WHERE o_orderstatus <> 'F'
             UNION ALL SELECT *, '2' FROM mart UNION ALL SELECT *, 'view' FROM mart""",
+        "published_statistics": f"WITH {MART} "
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, 'string' AS type, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS distinct_values FROM mart"
+            for c in ("o_orderstatus", "o_orderpriority", "c_mktsegment", "has_return", "all_filled", "band")
+        ),
         "scorecard_from_batches": f"WITH {MART} {scorecard_sql()}",
         "star_entity_dim": f"""{flat} SELECT CAST(o_orderkey AS VARCHAR) AS entity_id,
             c_name AS name, c_nationkey AS nation, c_acctbal AS balance FROM flat""",
@@ -275,6 +280,14 @@ def analysis_sql() -> dict[str, str]:
                 key_report_sql("lineitem", "lineitem", "l_orderkey", "orders", "o_orderkey"),
             ]
         ),
+        "key_report_by_bitmaps": f"WITH {BEHAVIOUR} "
+        + " UNION ALL ".join(
+            [
+                key_report_sql("customer", "customer", "c_custkey", "orders", "o_custkey"),
+                key_report_sql("behaviour", "behaviour", "l_orderkey", "orders", "o_orderkey"),
+                key_report_sql("lineitem", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+            ]
+        ),
         "key_report_composite": key_report_sql("line", lines_key, "line", lines_key, "line"),
         "pairs_inner_notnull": f"WITH {pairs} SELECT * FROM pairs",
         "table_counts": """

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandscope.operators import cohort, distribution, keys, ledger, profile
+from bandscope.operators import bitmaps, cohort, distribution, keys, ledger, profile
 from bandscope.operators.mart import build_mart, entity_measure_pairs, refuse_duplicates
 from bandscope.operators.star import behaviour_dim, entity_dim, fact_rows, split_star
 from bandscope.session import scratch_path, stored
 from bandscope.sources.csv import csv_rejects, read_csv, read_text_csv, write_csv
 from bandscope.sources import infer
 from bandscope.sources.layers import (
+    column_statistics,
     land_bronze,
     normalise_names,
     publish,
@@ -307,6 +308,16 @@ def scorecard_from_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.scorecard_from_state(ledger.scorecard_state(spark, root), FACTORS, BANDS)
 
 
+def published_statistics(
+    spark: SparkSession, sf_dir: str, name: str = "bandscope_analysed_mart", database: str = "default"
+) -> DataFrame:
+    """What the catalog knows of the published mart: nulls and distinct values of the columns with few of them."""
+    publish(order_mart(spark, sf_dir), f"{database}.{name}", analyze=True)
+    few = ["o_orderstatus", "o_orderpriority", "c_mktsegment", "has_return", "all_filled", "band"]
+    known = column_statistics(spark, f"{database}.{name}")
+    return known.where(F.col("column_name").isin(few)).select("column_name", "type", "nulls", "distinct_values")
+
+
 def sql_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Session views joined by SQL with aliases and a derived table."""
     register_views({f"bandscope_{n}": table(spark, sf_dir, n) for n in ("customer", "orders")})
@@ -370,6 +381,12 @@ def key_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def key_report_by_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    dimensions = [*order_dimensions(spark, sf_dir), Dimension("lineitem", lines, "l_orderkey", "o_orderkey", [])]
+    return bitmaps.key_report_by_bitmaps(orders, dimensions)
+
+
 def key_report_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         F.struct("l_orderkey", "l_linenumber").alias("line")
@@ -635,6 +652,7 @@ QUERIES = {
     "mart_rows": order_mart,
     "published_mart": published_mart,
     "published_versions": published_versions,
+    "published_statistics": published_statistics,
     "scorecard_from_batches": scorecard_from_batches,
     "sql_views": sql_views,
     "star_entity_dim": star_entity,
@@ -649,6 +667,7 @@ QUERIES = {
     "fact_fk_resolved": fact_fk_resolved,
     "fact_fk_null": fact_fk_null,
     "key_report": key_report,
+    "key_report_by_bitmaps": key_report_by_bitmaps,
     "key_report_composite": key_report_composite,
     "pairs_inner_notnull": pairs,
     "table_counts": table_counts,
