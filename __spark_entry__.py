@@ -321,6 +321,8 @@ def analysis_sql() -> dict[str, str]:
             for c in ("l_extendedprice", "l_discount")
         ),
         "value_counts": "SELECT p_size, count(*) AS total FROM part GROUP BY p_size",
+        "value_counts_top": """
+            SELECT l_partkey, count(*) AS total FROM lineitem GROUP BY l_partkey ORDER BY total DESC, l_partkey LIMIT 25""",
         "grouped_summary": """
             SELECT c_mktsegment, count(*) AS total, round(avg(c_acctbal), 2) AS avg_c_acctbal,
                    min(c_acctbal) AS min_c_acctbal, max(c_acctbal) AS max_c_acctbal

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandscope.operators import bitmaps, cohort, distribution, keys, ledger, profile
+from bandscope.operators import bitmaps, cohort, distribution, heavy, keys, ledger, profile
 from bandscope.operators.mart import build_mart, entity_measure_pairs, refuse_duplicates
 from bandscope.operators.star import behaviour_dim, entity_dim, fact_rows, split_star
 from bandscope.session import scratch_path, stored
@@ -445,6 +445,11 @@ def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.value_counts(table(spark, sf_dir, "part"), "p_size")
 
 
+def value_counts_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most ordered parts: a top-k report over a key with many values."""
+    return heavy.top_values(table(spark, sf_dir, "lineitem"), "l_partkey", 25)
+
+
 def grouped_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.grouped_summary(
         table(spark, sf_dir, "customer"), "c_mktsegment", ["c_acctbal"], ["c_acctbal"]
@@ -676,6 +681,7 @@ QUERIES = {
     "numeric_summary": numeric_summary,
     "numeric_summary_rounded": numeric_summary_rounded,
     "value_counts": value_counts,
+    "value_counts_top": value_counts_top,
     "grouped_summary": grouped_summary,
     "grouped_summary_two_avgs": grouped_summary_two_avgs,
     "share_of_total": share_of_total,
