@@ -31,12 +31,12 @@ from bandscope.session import broadcast_if_small, stored
 
 WORDS = 5
 THRESHOLD = 0.8
-TREES, DEEPEST = 24, 7
+TREES, DEEPEST = 24, 6
 RECALL = 0.9999
 # Estimates lie this many standard deviations below the threshold at most.
 DEVIATIONS = 5.5
 # Members in a block of a bucket, and classes and shingles in a block of a group, about.
-BUCKET_BLOCK = 256
+BUCKET_BLOCK = 2048
 GROUP_BLOCK, GROUP_SHINGLES = 512, 1 << 20
 # Classes of more shingles than this may have a partner at just the threshold.
 FEW_SHINGLES = 400
@@ -189,22 +189,23 @@ def judged(threshold: float) -> Judge:
 
 
 def candidate_groups(sig: DataFrame, threshold: float) -> DataFrame:
-    """(node, component) of the classes that may be linked with another, found from the deepest prefixes to the shortest."""
+    """(node, component) of the classes that may be linked with another, found from the deepest prefixes to the shortest.
+
+    Between rounds classes are told by the least class that one edge leads to; what that leaves apart is joined at the end.
+    """
     trees, depth = forest(threshold)
     deepest = DEEPEST if trees == TREES else 1
-    groups = None
+    edges = known = None
     for at in range(deepest, depth - 1, -1):
         here = sig.filter(F.col("stop") <= at).withColumn("grp", F.col("cls"))
-        if groups is not None:
-            here = here.join(broadcast_if_small(groups), F.col("cls") == F.col("node"), "left").withColumn("grp", F.coalesce("component", "cls"))
+        if known is not None:
+            here = here.join(broadcast_if_small(known), F.col("cls") == F.col("u"), "left").withColumn("grp", F.coalesce("least", "cls"))
         keyed = here.select("cls", "grp", F.explode(nodes_at(at, trees, deepest)).alias("key"))
-        edges = stored(bucket_edges(keyed, here.select("cls", "sig"), BUCKET_BLOCK, judged(threshold)), "met")
-        if groups is not None:
-            if edges.isEmpty():
-                continue
-            edges = edges.unionByName(groups.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        groups = stored(components(edges), "groups")
-    return groups
+        met = stored(bucket_edges(keyed, here.select("cls", "sig"), BUCKET_BLOCK, judged(threshold)), "met")
+        edges = met if edges is None else edges.unionByName(met)
+        if at > depth:
+            known = stored(edges.groupBy("u").agg(F.min("v").alias("least")), "known-edges")
+    return stored(components(edges), "groups")
 
 
 def intersections(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
