@@ -299,7 +299,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, doc_id: str = "d
     Two rows are linked if their texts' shingle sets have a Jaccard similarity of `threshold` or more.
     n_links counts the other rows linked directly; class_id is the smallest doc_id among the rows reachable
     by links, group_size their number. Null texts and texts without words have no shingles: they are
-    linked with nothing, and their class_id is their own doc_id. Rows with a null doc_id take part; their
+    linked with nothing, and their class_id is their own doc_id. Ids must be whole numbers. Rows with a null doc_id take part; their
     class_id is null only if no reachable row has an id. Repeated rows are copies of each other.
     """
     return grouped_rows(docs, threshold, doc_id, text).drop("component")
@@ -320,12 +320,15 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataF
     per_row = stored(
         marked.groupBy("doc_id", "th").agg(F.max(stays).alias("stays"), F.count("*").alias("times")), "marked"
     )
-    keyed = docs.select("*", F.xxhash64("text").alias("_th"))
-    same = keyed["doc_id"].cast("long").eqNullSafe(per_row["doc_id"]) & (keyed["_th"] == per_row["th"])
+    own = "_th"
+    while own in docs.columns:
+        own += "_"
+    keyed = docs.select("*", F.xxhash64("text").alias(own))
+    same = keyed["doc_id"].cast("long").eqNullSafe(per_row["doc_id"]) & (keyed[own] == per_row["th"])
     gone = broadcast_if_small(per_row.filter("NOT stays OR times > 1").select("doc_id", "th"))
     rest = keyed.join(gone, same, "left_anti").select(*docs.columns)
     twice = per_row.filter("stays AND times > 1").select("doc_id", "th")
     if twice.isEmpty():
         return rest
-    again = keyed.join(broadcast_if_small(twice), same, "left_semi").dropDuplicates(["doc_id", "_th"])
+    again = keyed.join(broadcast_if_small(twice), same, "left_semi").dropDuplicates(["doc_id", own])
     return rest.unionByName(again.select(*docs.columns))

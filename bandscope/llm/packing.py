@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandscope.llm import words as W
+from bandscope.llm.columns import set_aside
 from bandscope.session import stored
 
 CAPACITY = 2048
@@ -169,7 +170,8 @@ def cache(path: str) -> ChunkCache:
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces of every document: its token ids, then one id 0, cut every `capacity` tokens.
 
-    Null and empty texts are the single id 0. Returns doc_id, piece, start, length, ids_crc32.
+    Null and empty texts are the single id 0. Returns doc_id, piece, start, length, ids_crc32; doc_id must be a whole
+    number or null, repeated rows are cut as often, and other columns are left out.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,9 +334,12 @@ def plan(counts: np.ndarray, capacity: int = CAPACITY) -> tuple[list[tuple[int,
 def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """Every piece with `sequence_id` and `offset`. `cut` has doc_id, piece, start, length and maybe more; length is 1..capacity.
 
-    Pieces alike in length are interchangeable; ties go by salt, doc_id, piece and ids_crc32.
+    Pieces alike in length are interchangeable; ties go by salt, doc_id, piece and ids_crc32. Columns named
+    sequence_id or offset before are replaced, all others come back.
     """
     spark = cut.sparkSession
+    kept = [c for c in cut.columns if c not in ("sequence_id", "offset")]
+    cut, other = set_aside(cut.select(*(F.col(f"`{c}`") for c in kept)), ("_salt", "_n", "_at", "_base", "_to"))
     total = cut.count()
     salts = max(64, -(-total // group))
     salted = cut.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
@@ -360,7 +365,11 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFr
         salted.withColumn("_at", F.row_number().over(inside) - 1)
         .join(bases, ["length", "_salt"])
         .withColumn("_to", place("length", F.col("_base") + F.col("_at")))
-        .select(*cut.columns, F.col("_to.sequence_id").alias("sequence_id"), F.col("_to.offset").alias("offset"))
+        .select(
+            *(F.col(f"`{other.get(c, c)}`").alias(c) for c in kept),
+            F.col("_to.sequence_id").alias("sequence_id"),
+            F.col("_to.offset").alias("offset"),
+        )
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bandscope.llm import graph, near
 
-DOCS = "doc_id long, text string, cls string, key int"
+DOCS = "doc_id long, text string, cls string, _th int"
 
 
 def frame(spark, rows, schema="doc_id long, text string"):

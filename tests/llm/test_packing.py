@@ -162,3 +162,12 @@ def test_many_alike_repeated_and_null_ids(spark):
         assert [o for o, _ in sorted(own)] == [sum(n for _, n in sorted(own)[:k]) for k in range(len(own))]
         assert sum(n for _, n in own) <= 64
     assert packing.pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_clashing_columns_of_pieces(spark):
+    cut = spark.createDataFrame([(k, 0, 0, 5 + k, 1, 7, 8, 9) for k in range(4)], "doc_id long, piece int, start long, length long, ids_crc32 long, _salt int, offset int, _n int")
+    got = packing.pack(cut)
+    assert got.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "_salt", "_n", "sequence_id", "offset"]
+    rows = got.collect()
+    assert {(r["_salt"], r["_n"]) for r in rows} == {(7, 9)} and sorted(r["offset"] for r in rows)[0] == 0
+    assert len({(r.sequence_id, r["offset"]) for r in rows}) == 4
